@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from frameml.functions.vectors import bind, total
 from frameml.plans.randomness import uniform
 
 # Fixed value: offset inside ln(x + eps) and its derivative.
@@ -58,20 +59,24 @@ def activation_grad(x: Column, kind: str, upstream: Column | float = 1.0, expone
     raise ValueError(f"unknown activation {kind!r}; choose from {KINDS}")
 
 
-def _total(arr: Column) -> Column:
-    return F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v)
-
-
 def softmax(arr: Column) -> Column:
     """Softmax of every row's array, shifted by its maximum."""
-    raised = F.transform(arr, lambda v: F.exp(v - F.array_max(arr)))
-    return F.transform(raised, lambda e: e / _total(raised))
+    def raised(s):
+        return F.transform(s["x"], lambda v: F.exp(v - s["top"]))
+
+    def shares(e):
+        return bind(F.struct(e.alias("e"), total(e).alias("sum")),
+                    lambda t: F.transform(t["e"], lambda v: v / t["sum"]))
+
+    shifted = bind(F.struct(arr.alias("x"), F.array_max(arr).alias("top")), raised)
+    return bind(shifted, shares)
 
 
 def softmax_grad(s: Column, g: Column) -> Column:
     """Gradient through a softmax output ``s``: s * (g - sum(s * g))."""
-    inner = _total(F.zip_with(s, g, lambda a, b: a * b))
-    return F.zip_with(s, g, lambda a, b: a * (b - inner))
+    inner = total(F.zip_with(s, g, lambda a, b: a * b))
+    return bind(F.struct(s.alias("s"), g.alias("g"), inner.alias("inner")),
+                lambda t: F.zip_with(t["s"], t["g"], lambda a, b: a * (b - t["inner"])))
 
 
 def keep_mask(p: float, *keys, seed: int = 0) -> Column:

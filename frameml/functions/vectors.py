@@ -20,8 +20,7 @@ def squared_distance(a: Sequence[Column] | Column, b) -> Column:
     """Squared Euclidean distance.  Lists of columns (or literals) stay in
     generated code; two array columns use higher-order functions."""
     if isinstance(a, Column):
-        gaps = F.zip_with(a, b, lambda p, q: (p - q) * (p - q))
-        return F.aggregate(gaps, F.lit(0.0), lambda acc, v: acc + v)
+        return total(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)))
     b = [v if isinstance(v, Column) else F.lit(float(v)) for v in b]
     if len(a) != len(b):
         raise ValueError(f"vectors of width {len(a)} and {len(b)}")
@@ -37,6 +36,17 @@ def dot(a: Sequence[Column], weights: Sequence[float], bias: float = 0.0) -> Col
     return total + F.lit(float(bias)) if bias else total
 
 
+def bind(value: Column, f) -> Column:
+    """``f(value)`` with ``value`` computed once.  A lambda body is evaluated
+    anew for every element, so anything it shares must be bound outside."""
+    return F.transform(F.array(value), f)[0]
+
+
+def total(arr: Column) -> Column:
+    """Sum of an array."""
+    return F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v)
+
+
 def argmin(values: Sequence[Column]) -> Column:
     """Zero-based position of the smallest value; ties go to the lowest."""
     arr = F.array(*values)

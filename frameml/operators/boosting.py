@@ -62,7 +62,7 @@ def gbt_fit(df: DataFrame, xs, y, n_estimators: int = 100, lr: float = 0.1, max_
     history = []
     n, base = label_stats(rows)
     binning = choose_bins(rows, n, feats.d)
-    start = with_bins(rows.select("x", (F.col("y") - F.lit(base)).alias("t0")), binning, feats.d)
+    start = with_bins(rows.select("x", (F.col("y") - F.lit(base)).alias("t0")), binning)
     with persisted(start) as cached:
         data = cached
         total, square = data.agg(F.sum("t0"), F.sum(F.col("t0") * F.col("t0"))).first()

@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from frameml.functions.activations import softmax
 from frameml.functions.vectors import argmax, dot
 from frameml.operators.clustering import kmeans_fit
 from frameml.operators.scoring import batch_map
@@ -189,15 +190,7 @@ def mixture_shares(df: DataFrame, model: MixtureModel, xs) -> Column:
         raise ValueError(f"{feats.d} features but means of width {len(model.means[0])}")
     if _terms(model.k, feats.d) > MAX_LITERAL_TERMS // 2:
         return batch_map(feats, lambda z, s: _shares(z, s)[0], model)
-    logs = F.array(*_log_joint(feats.columns(), model))
-    # Bind each intermediate array once: a lambda over a one-element array.
-    return F.transform(F.array(logs), lambda l: _normalised(l))[0]
-
-
-def _normalised(l: Column) -> Column:
-    top = F.array_max(l)
-    total = F.aggregate(l, F.lit(0.0), lambda acc, v: acc + F.exp(v - top))
-    return F.transform(l, lambda v: F.exp(v - top) / total)
+    return softmax(F.array(*_log_joint(feats.columns(), model)))
 
 
 def gmm_predict_proba(df: DataFrame, model: MixtureModel, xs, output: str = "probability") -> DataFrame:

@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,7 +91,7 @@ def mlp(n_in: int, widths: Sequence[int], seed: int = 0, hidden: str = "relu", d
     return Network(tuple(layers))
 
 
-def _mask(ids: np.ndarray, width: int, p: float, key: int) -> np.ndarray:
+def _mask(ids: np.ndarray, width: int, p: float, key) -> np.ndarray:
     """Dropout mask from a hash of (row id, unit, step): the same on a retry."""
     grid = ids.astype(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15) + np.arange(width, dtype=np.uint64)
     h = grid ^ np.uint64(key)
@@ -113,7 +112,7 @@ def _forward(z: np.ndarray, layers, ids=None, step: int = 0, seed: int = 0):
             if ids is None:
                 saved.append(None)
                 continue
-            key = xxhash.xxh64_intdigest(f"{seed}/{step}/{k}")
+            key = np.random.SeedSequence([seed, step, k]).generate_state(1, np.uint64)[0]
             mask = _mask(ids, z.shape[1], layer.p, key)
             saved.append(mask)
             z = z * mask

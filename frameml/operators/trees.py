@@ -134,7 +134,7 @@ def grow(data: DataFrame, feats: Features, root: _Open, k: int, binned: bool, ma
         tagged = tagged.filter(F.col("node") >= 0)
         totals = spark.createDataFrame(
             [(o.node, float(o.n), *map(float, o.s), float(o.q)) for o in open_nodes],
-            "node int, N double, " + "".join(f"S{i} double, " for i in range(k)) + "Q double")
+            "node int, all_n double, " + "".join(f"all_s{i} double, " for i in range(k)) + "all_q double")
         level = []
         for r in best_splits(tagged, totals, k, binned, broadcast_totals=True).orderBy("node").collect():
             if not accepts(r["gain"]):
@@ -175,7 +175,7 @@ def tree_regressor_fit(df: DataFrame, xs, y, max_depth: int = 5, min_samples_spl
     rows, feats = training_table(df, xs, y, handle_invalid)
     n, mean = label_stats(rows)
     binning = choose_bins(rows, n, feats.d)
-    data = with_bins(rows.select("x", (F.col("y") - F.lit(mean)).alias("t0")), binning, feats.d)
+    data = with_bins(rows.select("x", (F.col("y") - F.lit(mean)).alias("t0")), binning)
     with persisted(data) as ready:
         got = ready.agg(F.sum("t0"), F.sum(F.col("t0") * F.col("t0"))).first()
         root = _Open(0, n, np.array([got[0]]), got[1])
@@ -197,7 +197,7 @@ def tree_classifier_fit(df: DataFrame, xs, y, max_depth: int = 5, min_samples_sp
     k = len(classes)
     binning = choose_bins(rows, n, feats.d)
     hot = [(F.col("y") == F.lit(float(c))).cast("double").alias(f"t{i}") for i, c in enumerate(classes)]
-    data = with_bins(rows.select("x", *hot), binning, feats.d)
+    data = with_bins(rows.select("x", *hot), binning)
     with persisted(data) as ready:
         root = _Open(0, n, np.array([float(r["count"]) for r in counts]), n)
         model, _ = grow(ready, feats, root, k, not binning.trivial, max_depth, min_samples_split,
@@ -216,7 +216,7 @@ def _split_table(df: DataFrame, xs, y, by, handle_invalid):
 
 def _one_level(rows: DataFrame, n: float, feats: Features, targets: list[Column]) -> DataFrame:
     binning = choose_bins(rows, n, feats.d)
-    data = with_bins(rows.select("node", "x", *[t.alias(f"t{i}") for i, t in enumerate(targets)]), binning, feats.d)
+    data = with_bins(rows.select("node", "x", *[t.alias(f"t{i}") for i, t in enumerate(targets)]), binning)
     totals = cut_lineage(node_totals(data, len(targets)))
     few = totals.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     found = best_splits(data, totals, len(targets), not binning.trivial, broadcast_totals=few)

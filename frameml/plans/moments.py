@@ -90,13 +90,7 @@ def moments(df: DataFrame, xs, y=None, weight=None, shift=None, handle_invalid:
     p = 1 + d + (y is not None)
     rows, inner, _ = prepare(df, feats, labels, handle_invalid=handle_invalid, as_array=wide)
     if wide:
-        # Nulls cannot enter NumPy arrays: give marked rows a harmless value,
-        # they are counted and reported before any sum is used.
-        if "bad" in rows.columns:
-            zeros = F.array_repeat(F.lit(0.0), d)
-            rows = rows.withColumn("x", F.when(F.col("bad"), zeros).otherwise(F.col("x")))
-            rows = rows.fillna(0.0, [c for c in labels]) if labels else rows
-        got = partition_sums(rows, _gram_kernel, p * (p + 1) // 2 + 2,
+        got = partition_sums(_harmless(rows, d, labels), _gram_kernel, p * (p + 1) // 2 + 2,
                              (shift, y is not None, weight is not None))
         sums, n, bad = got[:-2], got[-2], got[-1]
     else:
@@ -129,16 +123,37 @@ def centred_moments(df: DataFrame, xs, handle_invalid: str = "error") -> Moments
     return moments(df, feats, shift=column_shift(df, feats, handle_invalid), handle_invalid=handle_invalid)
 
 
+def _mean_kernel(cols, _):
+    bad = cols["bad"].astype(float).sum() if "bad" in cols else 0.0
+    return np.concatenate([cols["x"].sum(axis=0), [float(len(cols["x"])), bad]])
+
+
 def column_shift(df: DataFrame, xs, handle_invalid: str = "error") -> np.ndarray:
     """Column means, used as a shift."""
     feats = resolve(df, xs)
-    rows, inner, _ = prepare(df, feats, handle_invalid=handle_invalid)
+    wide = feats.d > NARROW
+    rows, inner, _ = prepare(df, feats, handle_invalid=handle_invalid, as_array=wide)
+    if wide:
+        got = partition_sums(_harmless(rows, feats.d), _mean_kernel, feats.d + 2)
+        raise_on_bad(got[-1], got[-2])
+        return got[:-2] / got[-2]
     row = rows.agg(*[F.avg(c).alias(f"m{j}") for j, c in enumerate(inner.columns())],
                    F.count(F.lit(1)).alias("n"), bad_count(rows).alias("bad")).first()
     raise_on_bad(row["bad"], row["n"])
     return np.array(row[:feats.d], dtype=float)
 
 
+def _harmless(rows: DataFrame, d: int, labels=()) -> DataFrame:
+    """Nulls cannot enter NumPy arrays: rows marked bad get zeros.  They are
+    counted and reported before any sum is used."""
+    if "bad" not in rows.columns:
+        return rows
+    zeros = F.array_repeat(F.lit(0.0), d)
+    cleared = {"x": F.when(F.col("bad"), zeros).otherwise(F.col("x"))}
+    cleared |= {c: F.when(F.col("bad"), F.lit(0.0)).otherwise(F.col(c)) for c in labels}
+    return rows.withColumns(cleared)
+
+
 def grouped_moments(df: DataFrame, by, xs, y=None, shift=None,
                     handle_invalid: str = "error") -> tuple[DataFrame, int]:
     """One line per group: the ``by`` columns and ``m``, the packed upper

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 # Largest number of literal terms put into generated code; beyond it the
 # state is broadcast and the rows go through Arrow batches.
-MAX_LITERAL_TERMS = 2000
+MAX_LITERAL_TERMS = 200
 
 
 def sum_exprs(df: DataFrame, exprs: Sequence[Column]) -> np.ndarray:

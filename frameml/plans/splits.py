@@ -64,10 +64,10 @@ def choose_bins(rows: DataFrame, n: float, d: int) -> Binning:
     return Binning(tuple(edges[f] for f in range(d)))
 
 
-def with_bins(rows: DataFrame, binning: Binning, d: int) -> DataFrame:
-    """Add ``b``, the bin of every feature."""
+def with_bins(rows: DataFrame, binning: Binning) -> DataFrame:
+    """Add ``b``, the bin of every feature; nothing for a trivial binning."""
     if binning.trivial:
-        return rows.withColumn("b", F.array_repeat(F.lit(0), d))
+        return rows
     edges = binning.edges
 
     @F.arrow_udf("array<int>")
@@ -104,8 +104,8 @@ def _cols(prefix: str, k: int) -> list[Column]:
 
 
 def _gain(n: Column, s: list[Column], k: int) -> Column:
-    """Gain from left sums, with node totals in columns N and S0.. ."""
-    big_n, big_s = F.col("N"), _cols("S", k)
+    """Gain from left sums, with the node's totals in all_n and all_s0.. ."""
+    big_n, big_s = F.col("all_n"), _cols("all_s", k)
     return (_score(n, s, big_n, big_s) - _square_sum(big_s) / big_n) / big_n
 
 
@@ -121,50 +121,52 @@ def _corner_bound(k: int) -> Column:
     parts = []
     for t in range(k):
         s, lo, hi = F.col(f"s{t}"), F.col(f"lo{t}"), F.col(f"hi{t}")
-        prior, big_s = F.col(f"s_before{t}"), F.col(f"S{t}")
+        prior, big_s = F.col(f"s_before{t}"), F.col(f"all_s{t}")
         spread = hi - lo
         high_m = F.when(spread > 0, (s - n * lo) / F.when(spread > 0, spread)).otherwise(F.lit(0.0))
         low_m = n - high_m
         corners = [(F.lit(0.0), F.lit(0.0)), (n, s), (high_m, high_m * hi), (low_m, low_m * lo)]
-        values = [_score(before + m, [prior + v], F.col("N"), [big_s]) for m, v in corners]
+        values = [_score(before + m, [prior + v], F.col("all_n"), [big_s]) for m, v in corners]
         parts.append(F.greatest(*values))
-    return (balanced_sum(parts) - _square_sum(_cols("S", k)) / F.col("N")) / F.col("N")
+    return (balanced_sum(parts) - _square_sum(_cols("all_s", k)) / F.col("all_n")) / F.col("all_n")
 
 
 def node_totals(rows: DataFrame, k: int) -> DataFrame:
-    """Per node: N, S0.., Q (sum of squared targets)."""
+    """Per node: all_n, all_s0.., all_q (sum of squared targets)."""
     t = _cols("t", k)
     return rows.groupBy("node").agg(
-        F.count(F.lit(1)).cast("double").alias("N"),
-        *[F.sum(c).alias(f"S{i}") for i, c in enumerate(t)],
-        F.sum(_square_sum(t)).alias("Q"))
+        F.count(F.lit(1)).cast("double").alias("all_n"),
+        *[F.sum(c).alias(f"all_s{i}") for i, c in enumerate(t)],
+        F.sum(_square_sum(t)).alias("all_q"))
 
 
-def _long(rows: DataFrame, k: int) -> DataFrame:
-    pair = F.explode(F.arrays_zip(F.sequence(F.lit(0), F.size("x") - 1).alias("f"), F.col("b").alias("b"),
-                                  F.col("x").alias("x"))).alias("e")
-    return rows.select("node", *_names("t", k), pair).select(
-        "node", *_names("t", k), F.col("e.f").alias("f"), F.col("e.b").alias("bin"), F.col("e.x").alias("v"))
+def _long(rows: DataFrame, k: int, binned: bool) -> DataFrame:
+    """One line per row and feature: node, t0.., f, v and, when binned, bin."""
+    keep = ["node", *_names("t", k)]
+    if not binned:
+        return rows.select(*keep, F.posexplode("x").alias("f", "v"))
+    pairs = rows.select(*keep, F.posexplode(F.arrays_zip("b", "x")).alias("f", "e"))
+    return pairs.select(*keep, "f", F.col("e.b").alias("bin"), F.col("e.x").alias("v"))
 
 
 def _best(candidates: DataFrame, k: int) -> DataFrame:
     """One split per node: gain, then feature, then smallest threshold."""
-    impurity = (F.col("Q") - _square_sum(_cols("S", k)) / F.col("N")) / F.col("N")
+    impurity = (F.col("all_q") - _square_sum(_cols("all_s", k)) / F.col("all_n")) / F.col("all_n")
     share = F.when(impurity > 0, F.col("gain") / F.when(impurity > 0, impurity)).otherwise(F.lit(0.0))
     order = F.struct(F.lit(0.0) - F.round(share, TIE_DIGITS), F.col("f"), F.col("v"))
     chosen = F.struct("f", "v", "gain", "nl", F.array(*_names("sl", k)).alias("sl"), "ql")
     best = candidates.groupBy("node").agg(F.min_by(chosen, order).alias("best"),
-                                          F.first("N").alias("n"))
+                                          F.first("all_n").alias("n"))
     return best.select("node", F.col("best.f").alias("feature"), F.col("best.v").alias("threshold"),
                        F.col("best.gain").alias("gain"), F.col("n").cast("long").alias("n"),
                        F.col("best.nl").cast("long").alias("n_left"),
                        F.col("best.sl").alias("sum_left"), F.col("best.ql").alias("square_left"))
 
 
-def _by_value(long: DataFrame, k: int) -> DataFrame:
-    """Sums by (node, f, bin, v): heavy duplicate values collapse on the map side."""
+def _by_value(long: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """Sums by (keys, v): heavy duplicate values collapse on the map side."""
     t = _cols("t", k)
-    return long.groupBy("node", "f", "bin", "v").agg(
+    return long.groupBy(*keys, "v").agg(
         F.count(F.lit(1)).cast("double").alias("n"), *[F.sum(c).alias(f"s{i}") for i, c in enumerate(t)],
         F.sum(_square_sum(t)).alias("q"))
 
@@ -189,11 +191,11 @@ def best_splits(rows: DataFrame, totals: DataFrame, k: int, binned: bool, broadc
     from ``node_totals``.  ``broadcast_totals`` says that the caller knows the
     number of nodes to be small."""
     tot = F.broadcast(totals) if broadcast_totals else totals
-    long = _long(rows, k)
-    valid = F.col("nl") < F.col("N")
+    long = _long(rows, k, binned)
+    valid = F.col("nl") < F.col("all_n")
     left_sums = _cols("sl", k)
     if not binned:
-        swept = _with_left(_by_value(long, k), k, _running(["node", "f"], "v"), offsets=False)
+        swept = _with_left(_by_value(long, ["node", "f"], k), k, _running(["node", "f"], "v"), offsets=False)
         scored = swept.join(tot, "node").filter(valid)
         return _best(scored.withColumn("gain", _gain(F.col("nl"), left_sums, k)), k)
 
@@ -210,21 +212,21 @@ def best_splits(rows: DataFrame, totals: DataFrame, k: int, binned: bool, broadc
                        _corner_bound(k).alias("bound"))
     ends = cut_lineage(ends)
     floors = ends.groupBy("node").agg(F.max("gain").alias("floor"))
-    impurity = (F.col("Q") - _square_sum(_cols("S", k)) / F.col("N")) / F.col("N")
+    impurity = (F.col("all_q") - _square_sum(_cols("all_s", k)) / F.col("all_n")) / F.col("all_n")
     reach = F.coalesce(F.col("floor"), F.lit(float("-inf"))) - F.lit(BOUND_SLACK) * F.abs(impurity)
     marked = ends.join(F.broadcast(floors) if broadcast_totals else floors, "node").withColumn(
         "open", (F.col("v_min") < F.col("v")) & (F.col("bound") >= reach))
     at_ends = marked.filter(valid)
     keys = ["node", "f", "bin"]
-    carried = ["n_before", *_names("s_before", k), "q_before", "N", *_names("S", k), "Q"]
+    carried = ["n_before", *_names("s_before", k), "q_before", "all_n", *_names("all_s", k), "all_q"]
     open_bins = marked.filter("open").select(*keys, *carried)
     few = open_bins.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     if few:
         mask = F.broadcast(open_bins.select(*keys))
-        counted = _by_value(long.join(mask, keys, "left_semi"), k).join(F.broadcast(open_bins), keys)
+        counted = _by_value(long.join(mask, keys, "left_semi"), keys, k).join(F.broadcast(open_bins), keys)
     else:
-        counted = _by_value(long, k).join(open_bins, keys)
+        counted = _by_value(long, keys, k).join(open_bins, keys)
     inside = _with_left(counted, k, _running(keys, "v"), offsets=True).filter(valid)
     inside = inside.withColumn("gain", _gain(F.col("nl"), left_sums, k))
-    wanted = ["node", "f", "v", "gain", "nl", *_names("sl", k), "ql", "N", *_names("S", k), "Q"]
+    wanted = ["node", "f", "v", "gain", "nl", *_names("sl", k), "ql", "all_n", *_names("all_s", k), "all_q"]
     return _best(at_ends.select(*wanted).unionByName(inside.select(*wanted)), k)
