@@ -16,6 +16,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from frameml.operators.scoring import batch_map
+from frameml.plans.features import Features
+from frameml.plans.lineage import collect_small
 from frameml.plans.randomness import normal
 from frameml.plans.reduce import as_numpy
 
@@ -190,8 +193,9 @@ def mat_dot(a: MatrixTable, b: MatrixTable) -> DataFrame:
 def matmul(a: MatrixTable, b: MatrixTable, method: str = "auto", block: int = 256) -> MatrixTable:
     """Product a b.
 
-    ``broadcast``: b has at most 1e6 cells; a in row layout is multiplied in
-    one map pass, a in cell layout joins the broadcast and adds up partially.
+    ``broadcast``: b has at most 1e6 cells and is collected once, counted on
+    the way; a in row layout is multiplied in one map pass, a in cell layout
+    joins the broadcast and adds up partially.
     ``cells``: equi-join on the inner index.  ``blocks``: cells are packed
     into block x block arrays joined on the inner block, for two large
     operands.  ``auto`` takes broadcast when b is small, else blocks.
@@ -203,9 +207,13 @@ def matmul(a: MatrixTable, b: MatrixTable, method: str = "auto", block: int = 25
     if method == "broadcast":
         if b.rows * b.cols > BROADCAST_CELLS:
             raise ValueError(f"right-hand side {b.shape} is too large to broadcast")
-        return _map_product(a, b) if a.layout == "rows" else _cell_product(a, b, hint=True)
+        got = collect_small(b.cells(), b.rows * b.cols)
+        if a.layout == "rows":
+            return _map_product(a, b, got)
+        local = a.df.sparkSession.createDataFrame(got)
+        return _cell_product(a, b, F.broadcast(local))
     if method == "cells":
-        return _cell_product(a, b, hint=False)
+        return _cell_product(a, b, b.cells())
     if method == "blocks":
         return _block_product(a, b, block)
     raise ValueError(f"unknown method {method!r}")
@@ -249,19 +257,14 @@ def _pairwise(a: MatrixTable, b: MatrixTable, f) -> MatrixTable:
     return MatrixTable(both.select("i", "j", f(F.col("v"), F.col("u")).alias("v")), a.rows, a.cols)
 
 
-def _cell_product(a: MatrixTable, b: MatrixTable, hint: bool) -> MatrixTable:
+def _cell_product(a: MatrixTable, b: MatrixTable, b_cells: DataFrame) -> MatrixTable:
     left = a.cells().select("i", F.col("j").alias("k"), F.col("v").alias("p"))
-    right = b.cells().select(F.col("i").alias("k"), "j", F.col("v").alias("q"))
-    joined = left.join(F.broadcast(right) if hint else right, "k")
-    out = joined.groupBy("i", "j").agg(F.sum(F.col("p") * F.col("q")).alias("v"))
+    right = b_cells.select(F.col("i").alias("k"), "j", F.col("v").alias("q"))
+    out = left.join(right, "k").groupBy("i", "j").agg(F.sum(F.col("p") * F.col("q")).alias("v"))
     return MatrixTable(out, a.rows, b.cols)
 
 
-def _map_product(a: MatrixTable, b: MatrixTable) -> MatrixTable:
-    from frameml.operators.scoring import batch_map
-    from frameml.plans.features import Features
-
-    got = b.cells().toArrow()
+def _map_product(a: MatrixTable, b: MatrixTable, got) -> MatrixTable:
     w = np.zeros(b.shape)
     w[got["i"].to_numpy(), got["j"].to_numpy()] = got["v"].to_numpy()
     shared = a.df.sparkSession.sparkContext.broadcast(w)

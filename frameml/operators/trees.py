@@ -12,7 +12,7 @@ from frameml.operators.scoring import batch_map
 from frameml.plans.features import Features, bad_count, prepare, raise_on_bad, resolve
 from frameml.plans.lineage import BROADCAST_ROWS, cut_lineage
 from frameml.plans.reduce import persisted
-from frameml.plans.splits import best_splits, choose_bins, node_totals, with_bins
+from frameml.plans.splits import KnownTotals, TableTotals, best_splits, choose_bins, node_totals, with_bins
 
 # Smallest useful variance gain, impurity that counts as pure.
 MIN_VARIANCE_GAIN = 1e-5
@@ -89,6 +89,18 @@ def leaf_expression(nodes, x: list[Column], pick) -> Column:
     return walk(0)
 
 
+def leaf_sql(nodes, array: str, values) -> str:
+    """The same CASE as SQL text over an array<double> column."""
+    def walk(k: int) -> str:
+        node = nodes[k]
+        if node.is_leaf:
+            v = values[node.node]
+            return "null" if v is None else f"{v!r}D" if isinstance(v, float) else str(v)
+        return f"if({array}[{node.feature}] <= {float(node.threshold)!r}D, {walk(node.left)}, {walk(node.right)})"
+
+    return walk(0)
+
+
 def _walk_batch(x: np.ndarray, table) -> np.ndarray:
     """Vectorised descent: all rows step down one level at a time."""
     feature, threshold, left, right, out = table
@@ -106,6 +118,8 @@ def _walk_batch(x: np.ndarray, table) -> np.ndarray:
 def _leaf_column(df: DataFrame, nodes, feats: Features, values, returns: str) -> Column:
     """Value at each row's leaf, by generated code or by Arrow batches."""
     if sum(n.is_leaf for n in nodes) <= MAX_CASE_LEAVES:
+        if feats.source is not None and df.schema[feats.source].dataType.simpleString() == "array<double>":
+            return F.expr(f"cast({leaf_sql(nodes, feats.source, values)} as {returns})")
         return leaf_expression(nodes, feats.columns(), lambda n: F.lit(values[n.node]).cast(returns))
     table = (np.array([n.feature for n in nodes]), np.array([n.threshold for n in nodes]),
              np.array([n.left for n in nodes]), np.array([n.right for n in nodes]),
@@ -119,7 +133,6 @@ def grow(data: DataFrame, feats: Features, root: _Open, k: int, binned: bool, ma
     covers all open nodes.  A child's sums follow from its parent's split, so
     no extra pass computes leaf values.  Returns the model and each leaf's
     sums."""
-    spark = data.sparkSession
     nodes = [Node(0, leaf_value(root))]
     sums = {0: root}
     level = [root]
@@ -132,11 +145,10 @@ def grow(data: DataFrame, feats: Features, root: _Open, k: int, binned: bool, ma
             tags[o.node] = o.node
         tagged = data.withColumn("node", _leaf_column(data, nodes, feats, tags, "int"))
         tagged = tagged.filter(F.col("node") >= 0)
-        totals = spark.createDataFrame(
-            [(o.node, float(o.n), *map(float, o.s), float(o.q)) for o in open_nodes],
-            "node int, all_n double, " + "".join(f"all_s{i} double, " for i in range(k)) + "all_q double")
+        totals = KnownTotals({o.node: (o.n, o.s, o.q) for o in open_nodes}, k)
+        found = best_splits(tagged, totals, k, binned).collect()
         level = []
-        for r in best_splits(tagged, totals, k, binned, broadcast_totals=True).orderBy("node").collect():
+        for r in sorted(found, key=lambda r: r["node"]):
             if not accepts(r["gain"]):
                 continue
             parent = sums.pop(r["node"])
@@ -219,7 +231,7 @@ def _one_level(rows: DataFrame, n: float, feats: Features, targets: list[Column]
     data = with_bins(rows.select("node", "x", *[t.alias(f"t{i}") for i, t in enumerate(targets)]), binning)
     totals = cut_lineage(node_totals(data, len(targets)))
     few = totals.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    found = best_splits(data, totals, len(targets), not binning.trivial, broadcast_totals=few)
+    found = best_splits(data, TableTotals(totals, few), len(targets), not binning.trivial, few)
     return found.drop("sum_left", "square_left")
 
 

@@ -33,6 +33,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def collect_small(df: DataFrame, limit: int):
+    """All rows as an Arrow table, refusing more than ``limit`` of them."""
+    got = df.limit(limit + 1).toArrow()
+    if got.num_rows > limit:
+        raise ValueError(f"more than {limit} rows where a small table was expected")
+    return got
+
+
 def join_summary(rows: DataFrame, summary: DataFrame, on, how: str = "inner",
                  limit: int = BROADCAST_ROWS) -> DataFrame:
     """Join rows with a summary holding one line per key.

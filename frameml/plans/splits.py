@@ -20,16 +20,16 @@ answer.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from frameml.plans.features import balanced_sum
 from frameml.plans.lineage import BROADCAST_ROWS, cut_lineage
-from frameml.plans.reduce import as_numpy
+from frameml.plans.reduce import MAX_LITERAL_TERMS, as_numpy
 
 # Gains closer than this share of the parent impurity are ties.
 TIE_DIGITS = 9
@@ -82,34 +82,41 @@ def with_bins(rows: DataFrame, binning: Binning) -> DataFrame:
     return rows.withColumn("b", locate("x"))
 
 
-def _square_sum(cols: list[Column]) -> Column:
-    return balanced_sum([c * c for c in cols])
+# Expressions below are SQL text: a level's plan is rebuilt for every tree
+# level, and one parsed string is far cheaper than a chain of column calls.
 
 
-def _score(n: Column, s: list[Column], big_n: Column, big_s: list[Column]) -> Column:
-    """sum_t s^2/n + (S-s)^2/(N-n); a side without rows counts 0."""
-    rest = [b - a for a, b in zip(s, big_s)]
-    left = F.when(n > 0, _square_sum(s) / F.when(n > 0, n)).otherwise(F.lit(0.0))
-    m = big_n - n
-    right = F.when(m > 0, _square_sum(rest) / F.when(m > 0, m)).otherwise(F.lit(0.0))
-    return left + right
+def sql_sum(terms) -> str:
+    return "(" + " + ".join(terms) + ")"
 
 
 def _names(prefix: str, k: int) -> list[str]:
     return [f"{prefix}{t}" for t in range(k)]
 
 
-def _cols(prefix: str, k: int) -> list[Column]:
-    return [F.col(c) for c in _names(prefix, k)]
+def _square_sum(terms) -> str:
+    return sql_sum(f"{t} * {t}" for t in terms)
+
+
+def _score(n: str, s: list[str], big_n: str, big_s: list[str]) -> str:
+    """sum_t s^2/n + (S-s)^2/(N-n); a side without rows counts 0."""
+    left = _square_sum(f"({t})" for t in s)
+    right = _square_sum(f"({b} - ({t}))" for t, b in zip(s, big_s))
+    m = f"({big_n} - ({n}))"
+    return (f"(if({n} > 0, {left} / nullif({n}, 0D), 0D) + if({m} > 0, {right} / nullif({m}, 0D), 0D))")
+
 
+def _impurity(k: int) -> str:
+    return f"((all_q - {_square_sum(_names('all_s', k))} / all_n) / all_n)"
 
-def _gain(n: Column, s: list[Column], k: int) -> Column:
-    """Gain from left sums, with the node's totals in all_n and all_s0.. ."""
-    big_n, big_s = F.col("all_n"), _cols("all_s", k)
-    return (_score(n, s, big_n, big_s) - _square_sum(big_s) / big_n) / big_n
 
+def _gain(k: int) -> str:
+    """Gain from the left sums nl, sl0.. and the node's totals all_n, all_s0.. ."""
+    totals = _names("all_s", k)
+    return f"(({_score('nl', _names('sl', k), 'all_n', totals)} - {_square_sum(totals)} / all_n) / all_n)"
 
-def _corner_bound(k: int) -> Column:
+
+def _corner_bound(k: int) -> str:
     """Largest gain any threshold inside the bin can reach.
 
     Within the bin, m rows with target sum t go left.  Given the bin's count
@@ -117,106 +124,126 @@ def _corner_bound(k: int) -> Column:
     corners (0, 0), (n, s), the lowest targets first and the highest first.
     Each target is bounded on its own, which can only raise the bound.
     """
-    n, before = F.col("n"), F.col("n_before")
     parts = []
     for t in range(k):
-        s, lo, hi = F.col(f"s{t}"), F.col(f"lo{t}"), F.col(f"hi{t}")
-        prior, big_s = F.col(f"s_before{t}"), F.col(f"all_s{t}")
-        spread = hi - lo
-        high_m = F.when(spread > 0, (s - n * lo) / F.when(spread > 0, spread)).otherwise(F.lit(0.0))
-        low_m = n - high_m
-        corners = [(F.lit(0.0), F.lit(0.0)), (n, s), (high_m, high_m * hi), (low_m, low_m * lo)]
-        values = [_score(before + m, [prior + v], F.col("all_n"), [big_s]) for m, v in corners]
-        parts.append(F.greatest(*values))
-    return (balanced_sum(parts) - _square_sum(_cols("all_s", k)) / F.col("all_n")) / F.col("all_n")
+        high = f"coalesce((s{t} - n * lo{t}) / nullif(hi{t} - lo{t}, 0D), 0D)"
+        low = f"(n - {high})"
+        corners = [("0D", "0D"), ("n", f"s{t}"), (high, f"{high} * hi{t}"), (low, f"{low} * lo{t}")]
+        values = [_score(f"n_before + {m}", [f"s_before{t} + {v}"], "all_n", [f"all_s{t}"]) for m, v in corners]
+        parts.append(f"greatest({', '.join(values)})")
+    return f"(({sql_sum(parts)} - {_square_sum(_names('all_s', k))} / all_n) / all_n)"
 
 
 def node_totals(rows: DataFrame, k: int) -> DataFrame:
     """Per node: all_n, all_s0.., all_q (sum of squared targets)."""
-    t = _cols("t", k)
-    return rows.groupBy("node").agg(
-        F.count(F.lit(1)).cast("double").alias("all_n"),
-        *[F.sum(c).alias(f"all_s{i}") for i, c in enumerate(t)],
-        F.sum(_square_sum(t)).alias("all_q"))
+    sums = [F.expr(f"sum(t{i})").alias(f"all_s{i}") for i in range(k)]
+    return rows.groupBy("node").agg(F.expr("cast(count(1) as double)").alias("all_n"), *sums,
+                                    F.expr(f"sum{_square_sum(_names('t', k))}").alias("all_q"))
+
+
+class KnownTotals:
+    """Totals the caller holds: {node: (n, [s..], q)}.  A few nodes become CASE
+    literals, more become a broadcast table of one line per node."""
+
+    def __init__(self, by_node: dict, k: int):
+        self.by_node, self.k = by_node, k
+        self.names = ["all_n", *_names("all_s", k), "all_q"]
+
+    def add(self, df: DataFrame) -> DataFrame:
+        lines = [(node, float(n), *map(float, s), float(q)) for node, (n, s, q) in self.by_node.items()]
+        if len(lines) * (self.k + 2) <= MAX_LITERAL_TERMS:
+            cases = []
+            for at, name in enumerate(self.names, start=1):
+                whens = " ".join(f"when {line[0]} then {line[at]!r}D" for line in lines)
+                cases.append(f"case node {whens} end as {name}")
+            return df.selectExpr("*", *cases)
+        schema = "node int, " + ", ".join(f"{n} double" for n in self.names)
+        return df.join(F.broadcast(df.sparkSession.createDataFrame(lines, schema)), "node")
+
+
+class TableTotals:
+    """Totals in a table of ``node_totals``; broadcast when it is known to be
+    small."""
+
+    def __init__(self, totals: DataFrame, small: bool):
+        self.totals = F.broadcast(totals) if small else totals
+
+    def add(self, df: DataFrame) -> DataFrame:
+        return df.join(self.totals, "node")
 
 
 def _long(rows: DataFrame, k: int, binned: bool) -> DataFrame:
     """One line per row and feature: node, t0.., f, v and, when binned, bin."""
     keep = ["node", *_names("t", k)]
     if not binned:
-        return rows.select(*keep, F.posexplode("x").alias("f", "v"))
-    pairs = rows.select(*keep, F.posexplode(F.arrays_zip("b", "x")).alias("f", "e"))
-    return pairs.select(*keep, "f", F.col("e.b").alias("bin"), F.col("e.x").alias("v"))
+        return rows.selectExpr(*keep, "posexplode(x) as (f, v)")
+    pairs = rows.selectExpr(*keep, "posexplode(arrays_zip(b, x)) as (f, e)")
+    return pairs.selectExpr(*keep, "f", "e.b as bin", "e.x as v")
 
 
-def _best(candidates: DataFrame, k: int) -> DataFrame:
-    """One split per node: gain, then feature, then smallest threshold."""
-    impurity = (F.col("all_q") - _square_sum(_cols("all_s", k)) / F.col("all_n")) / F.col("all_n")
-    share = F.when(impurity > 0, F.col("gain") / F.when(impurity > 0, impurity)).otherwise(F.lit(0.0))
-    order = F.struct(F.lit(0.0) - F.round(share, TIE_DIGITS), F.col("f"), F.col("v"))
-    chosen = F.struct("f", "v", "gain", "nl", F.array(*_names("sl", k)).alias("sl"), "ql")
-    best = candidates.groupBy("node").agg(F.min_by(chosen, order).alias("best"),
-                                          F.first("all_n").alias("n"))
-    return best.select("node", F.col("best.f").alias("feature"), F.col("best.v").alias("threshold"),
-                       F.col("best.gain").alias("gain"), F.col("n").cast("long").alias("n"),
-                       F.col("best.nl").cast("long").alias("n_left"),
-                       F.col("best.sl").alias("sum_left"), F.col("best.ql").alias("square_left"))
+def _best(k: int, *sources: DataFrame) -> DataFrame:
+    """One split per node: largest gain, then feature, then smallest threshold.
+
+    Each source is reduced on its own first: its rows arrive sorted by node
+    from the window, so that reduction needs no sort and passes on one line
+    per node and task."""
+    share = f"if({_impurity(k)} > 0, gain / nullif({_impurity(k)}, 0D), 0D)"
+    ranked = (f"struct(0D - round({share}, {TIE_DIGITS}) as rank, f, v, gain, nl, "
+              f"array({', '.join(_names('sl', k))}) as sl, ql, all_n as n)")
+    found = [c.groupBy("node").agg(F.expr(f"min({ranked})").alias("best")) for c in sources]
+    if len(found) > 1:
+        found = [functools.reduce(DataFrame.unionAll, found).groupBy("node").agg(F.expr("min(best)").alias("best"))]
+    return found[0].selectExpr("node", "best.f as feature", "best.v as threshold", "best.gain as gain",
+                               "cast(best.n as bigint) as n", "cast(best.nl as bigint) as n_left",
+                               "best.sl as sum_left", "best.ql as square_left")
+
+
+def _sums(k: int) -> list[Column]:
+    return [F.expr("cast(count(1) as double)").alias("n"),
+            *[F.expr(f"sum(t{i})").alias(f"s{i}") for i in range(k)],
+            F.expr(f"sum{_square_sum(_names('t', k))}").alias("q")]
 
 
 def _by_value(long: DataFrame, keys: list[str], k: int) -> DataFrame:
     """Sums by (keys, v): heavy duplicate values collapse on the map side."""
-    t = _cols("t", k)
-    return long.groupBy(*keys, "v").agg(
-        F.count(F.lit(1)).cast("double").alias("n"), *[F.sum(c).alias(f"s{i}") for i, c in enumerate(t)],
-        F.sum(_square_sum(t)).alias("q"))
-
+    return long.groupBy(*keys, "v").agg(*_sums(k))
 
-def _running(parts: list[str], order: str):
-    return Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
+def _with_left(c: DataFrame, k: int, parts: list[str], order: str, offsets: bool) -> DataFrame:
+    """Running sums nl, sl0.., ql within ``parts`` by ``order``."""
+    over = f"over (partition by {', '.join(parts)} order by {order} rows unbounded preceding)"
 
-def _with_left(c: DataFrame, k: int, w, offsets: bool) -> DataFrame:
-    def left(name, before):
-        run = F.sum(name).over(w)
-        return run + F.col(before) if offsets else run
+    def left(name, before, out):
+        shift = f" + {before}" if offsets else ""
+        return f"sum({name}) {over}{shift} as {out}"
 
-    return c.select(
-        "*", left("n", "n_before").alias("nl"),
-        *[left(f"s{i}", f"s_before{i}").alias(f"sl{i}") for i in range(k)],
-        left("q", "q_before").alias("ql"))
+    return c.selectExpr("*", left("n", "n_before", "nl"),
+                        *[left(f"s{i}", f"s_before{i}", f"sl{i}") for i in range(k)],
+                        left("q", "q_before", "ql"))
 
 
-def best_splits(rows: DataFrame, totals: DataFrame, k: int, binned: bool, broadcast_totals: bool) -> DataFrame:
-    """Best split per node of ``rows`` (node, x, b, t0..), given ``totals``
-    from ``node_totals``.  ``broadcast_totals`` says that the caller knows the
-    number of nodes to be small."""
-    tot = F.broadcast(totals) if broadcast_totals else totals
+def best_splits(rows: DataFrame, totals: KnownTotals | TableTotals, k: int, binned: bool,
+                few_nodes: bool = True) -> DataFrame:
+    """Best split per node of ``rows`` (node, x, t0.. and, when binned, b).
+    ``few_nodes`` says the number of nodes is known to be small."""
     long = _long(rows, k, binned)
-    valid = F.col("nl") < F.col("all_n")
-    left_sums = _cols("sl", k)
     if not binned:
-        swept = _with_left(_by_value(long, ["node", "f"], k), k, _running(["node", "f"], "v"), offsets=False)
-        scored = swept.join(tot, "node").filter(valid)
-        return _best(scored.withColumn("gain", _gain(F.col("nl"), left_sums, k)), k)
-
-    t = _cols("t", k)
-    hist = long.groupBy("node", "f", "bin").agg(
-        F.count(F.lit(1)).cast("double").alias("n"), *[F.sum(c).alias(f"s{i}") for i, c in enumerate(t)],
-        F.sum(_square_sum(t)).alias("q"), F.min("v").alias("v_min"), F.max("v").alias("v"),
-        *[F.min(c).alias(f"lo{i}") for i, c in enumerate(t)], *[F.max(c).alias(f"hi{i}") for i, c in enumerate(t)])
-    ends = _with_left(hist, k, _running(["node", "f"], "bin"), offsets=False).join(tot, "node")
-    ends = ends.select("*", (F.col("nl") - F.col("n")).alias("n_before"),
-                       *[(F.col(f"sl{i}") - F.col(f"s{i}")).alias(f"s_before{i}") for i in range(k)],
-                       (F.col("ql") - F.col("q")).alias("q_before"))
-    ends = ends.select("*", F.when(valid, _gain(F.col("nl"), left_sums, k)).alias("gain"),
-                       _corner_bound(k).alias("bound"))
-    ends = cut_lineage(ends)
-    floors = ends.groupBy("node").agg(F.max("gain").alias("floor"))
-    impurity = (F.col("all_q") - _square_sum(_cols("all_s", k)) / F.col("all_n")) / F.col("all_n")
-    reach = F.coalesce(F.col("floor"), F.lit(float("-inf"))) - F.lit(BOUND_SLACK) * F.abs(impurity)
-    marked = ends.join(F.broadcast(floors) if broadcast_totals else floors, "node").withColumn(
-        "open", (F.col("v_min") < F.col("v")) & (F.col("bound") >= reach))
-    at_ends = marked.filter(valid)
+        swept = totals.add(_with_left(_by_value(long, ["node", "f"], k), k, ["node", "f"], "v", offsets=False))
+        return _best(k, swept.filter("nl < all_n").selectExpr("*", f"{_gain(k)} as gain"))
+
+    ranges = [F.expr(f"{fn}(t{i})").alias(f"{name}{i}") for i in range(k) for fn, name in (("min", "lo"), ("max", "hi"))]
+    hist = long.groupBy("node", "f", "bin").agg(*_sums(k), F.expr("min(v)").alias("v_min"),
+                                                F.expr("max(v)").alias("v"), *ranges)
+    ends = totals.add(_with_left(hist, k, ["node", "f"], "bin", offsets=False))
+    ends = ends.selectExpr("*", "nl - n as n_before", *[f"sl{i} - s{i} as s_before{i}" for i in range(k)],
+                           "ql - q as q_before")
+    ends = cut_lineage(ends.selectExpr("*", f"if(nl < all_n, {_gain(k)}, null) as gain",
+                                       f"{_corner_bound(k)} as bound"))
+    floors = ends.groupBy("node").agg(F.expr("max(gain)").alias("floor"))
+    reach = f"coalesce(floor, double('-inf')) - {BOUND_SLACK!r}D * abs({_impurity(k)})"
+    marked = ends.join(F.broadcast(floors) if few_nodes else floors, "node").selectExpr(
+        "*", f"v_min < v and bound >= {reach} as open")
+    at_ends = marked.filter("nl < all_n")
     keys = ["node", "f", "bin"]
     carried = ["n_before", *_names("s_before", k), "q_before", "all_n", *_names("all_s", k), "all_q"]
     open_bins = marked.filter("open").select(*keys, *carried)
@@ -226,7 +253,6 @@ def best_splits(rows: DataFrame, totals: DataFrame, k: int, binned: bool, broadc
         counted = _by_value(long.join(mask, keys, "left_semi"), keys, k).join(F.broadcast(open_bins), keys)
     else:
         counted = _by_value(long, keys, k).join(open_bins, keys)
-    inside = _with_left(counted, k, _running(keys, "v"), offsets=True).filter(valid)
-    inside = inside.withColumn("gain", _gain(F.col("nl"), left_sums, k))
-    wanted = ["node", "f", "v", "gain", "nl", *_names("sl", k), "ql", "all_n", *_names("all_s", k), "all_q"]
-    return _best(at_ends.select(*wanted).unionByName(inside.select(*wanted)), k)
+    inside = _with_left(counted, k, keys, "v", offsets=True).filter("nl < all_n")
+    inside = inside.selectExpr("*", f"{_gain(k)} as gain")
+    return _best(k, at_ends, inside)
