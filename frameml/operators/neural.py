@@ -234,6 +234,10 @@ def mlp_fit(df: DataFrame, xs, y, network: Network | None = None, hidden: Sequen
     if id is not None:
         rows = rows.withColumns({"bucket": F.pmod(F.xxhash64(id, F.lit(seed)), F.lit(batches)).cast("int"),
                                  "row_id": F.xxhash64(id)})
+    if batches > 1:
+        # Cached blocks then hold few buckets each, and a step skips the
+        # others by their min/max statistics.  No shuffle is needed for it.
+        rows = rows.sortWithinPartitions("bucket")
     size = sum(l.w.size + l.b.size for l in network.linear) + 2
     rule = _Adam(lr) if optimizer == "adam" else _Sgd(lr, momentum)
     history = []

@@ -13,17 +13,29 @@ from frameml.plans.features import Features, resolve
 from frameml.plans.reduce import MAX_LITERAL_TERMS, as_numpy
 
 
+EMPTY = {"array<double>": pa.list_(pa.float64()), "double": pa.float64(), "int": pa.int32()}
+
+
 def batch_map(features: Features, fn, state, returns: str = "array<double>") -> Column:
     """``fn(X, state)`` on Arrow batches of the feature array.  Only that
-    column crosses to Python, the other columns stay in the JVM."""
+    column crosses to Python, the other columns stay in the JVM.  A null array
+    gives null."""
 
     @F.arrow_udf(returns)
     def apply(x: pa.Array) -> pa.Array:
-        out = fn(as_numpy(x), state)
+        there = x.drop_null()
+        if not len(there):
+            return pa.nulls(len(x), EMPTY[returns])
+        out = fn(as_numpy(there), state)
         if out.ndim == 1:
-            return pa.array(out)
-        ends = pa.array(np.arange(0, out.size + 1, out.shape[1]), pa.int32())
-        return pa.ListArray.from_arrays(ends, pa.array(out.ravel()))
+            made = pa.array(out)
+        else:
+            ends = pa.array(np.arange(0, out.size + 1, out.shape[1]), pa.int32())
+            made = pa.ListArray.from_arrays(ends, pa.array(out.ravel()))
+        if not x.null_count:
+            return made
+        seen = np.asarray(x.is_valid().to_numpy(zero_copy_only=False), dtype=bool)
+        return made.take(pa.array(np.cumsum(seen) - 1, mask=~seen))
 
     return apply(features.array())
 

@@ -88,14 +88,20 @@ def check_policy(handle_invalid: str) -> None:
 
 
 def prepare(df: DataFrame, xs, labels: dict[str, object] | None = None, keep=(),
-            handle_invalid: str = "error", as_array: bool = False) -> tuple[DataFrame, Features, list[str]]:
+            handle_invalid: str = "error", as_array: bool = False,
+            nan_later: bool = False) -> tuple[DataFrame, Features, list[str]]:
     """Project to the columns a fit needs: features as ``x0..`` (or one array
     ``x``), labels under their given names, ``keep`` columns, and ``bad`` when
-    invalid rows must be reported.  Returns (frame, features, label names)."""
+    invalid rows must be reported.  With ``nan_later`` the caller looks for
+    null and NaN elements of ``x`` itself (NumPy does it faster than a lambda
+    per element).  Returns (frame, features, label names)."""
     check_policy(handle_invalid)
     feats = resolve(df, xs)
     cols = [F.col(k) for k in keep]
-    ok = feats.valid()
+    if nan_later and as_array and handle_invalid == "error":
+        ok = F.size(feats.array()).eqNullSafe(F.lit(feats.d))
+    else:
+        ok = feats.valid()
     names = []
     for name, source in (labels or {}).items():
         c = (F.col(source) if isinstance(source, str) else source).cast("double")

@@ -5,11 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from frameml.plans.features import bad_count, prepare, raise_on_bad, resolve
-from frameml.plans.reduce import partition_sums
+from frameml.plans.reduce import as_numpy, partition_sums
 
 # Up to this width the sums are generated code; wider rows use NumPy Grams.
 NARROW = 16
@@ -62,6 +64,13 @@ def unpack(values, p: int) -> np.ndarray:
     return z + np.triu(z, 1).T
 
 
+def _bad_rows(cols) -> float:
+    """Rows marked by the projection and rows with a null or NaN element."""
+    if "bad" not in cols:
+        return 0.0
+    return float((cols["bad"].astype(bool) | np.isnan(cols["x"]).any(axis=1)).sum())
+
+
 def _gram_kernel(cols, state):
     shift, has_y, has_w = state
     x = cols["x"] - shift
@@ -71,8 +80,7 @@ def _gram_kernel(cols, state):
     z = np.hstack(z)
     wz = z * cols["weight"].reshape(-1, 1) if has_w else z
     up = np.triu_indices(z.shape[1])
-    bad = cols["bad"].astype(float).sum() if "bad" in cols else 0.0
-    return np.concatenate([(wz.T @ z)[up], [float(len(x)), bad]])
+    return np.concatenate([(wz.T @ z)[up], [float(len(x)), _bad_rows(cols)]])
 
 
 def moments(df: DataFrame, xs, y=None, weight=None, shift=None, handle_invalid: str = "error",
@@ -88,7 +96,7 @@ def moments(df: DataFrame, xs, y=None, weight=None, shift=None, handle_invalid:
     wide = d > NARROW if method == "auto" else method == "wide"
     shift = np.zeros(d) if shift is None else np.asarray(shift, dtype=float)
     p = 1 + d + (y is not None)
-    rows, inner, _ = prepare(df, feats, labels, handle_invalid=handle_invalid, as_array=wide)
+    rows, inner, _ = prepare(df, feats, labels, handle_invalid=handle_invalid, as_array=wide, nan_later=True)
     if wide:
         got = partition_sums(_harmless(rows, d, labels), _gram_kernel, p * (p + 1) // 2 + 2,
                              (shift, y is not None, weight is not None))
@@ -124,15 +132,14 @@ def centred_moments(df: DataFrame, xs, handle_invalid: str = "error") -> Moments
 
 
 def _mean_kernel(cols, _):
-    bad = cols["bad"].astype(float).sum() if "bad" in cols else 0.0
-    return np.concatenate([cols["x"].sum(axis=0), [float(len(cols["x"])), bad]])
+    return np.concatenate([cols["x"].sum(axis=0), [float(len(cols["x"])), _bad_rows(cols)]])
 
 
 def column_shift(df: DataFrame, xs, handle_invalid: str = "error") -> np.ndarray:
     """Column means, used as a shift."""
     feats = resolve(df, xs)
     wide = feats.d > NARROW
-    rows, inner, _ = prepare(df, feats, handle_invalid=handle_invalid, as_array=wide)
+    rows, inner, _ = prepare(df, feats, handle_invalid=handle_invalid, as_array=wide, nan_later=True)
     if wide:
         got = partition_sums(_harmless(rows, feats.d), _mean_kernel, feats.d + 2)
         raise_on_bad(got[-1], got[-2])
@@ -160,18 +167,55 @@ def grouped_moments(df: DataFrame, by, xs, y=None, shift=None,
     triangle of the sums of [1, x - shift, y].  Partial sums form before the
     shuffle, so a group holding a third of the rows costs one line per task."""
     by = [by] if isinstance(by, str) else list(by)
+    feats = resolve(df, xs)
+    wide = feats.d > NARROW
     labels = {"y": y} if y is not None else {}
-    rows, inner, _ = prepare(df, xs, labels, keep=by, handle_invalid=handle_invalid)
-    p = 1 + inner.d + (y is not None)
+    rows, inner, _ = prepare(df, feats, labels, keep=by, handle_invalid=handle_invalid, as_array=wide)
+    p = 1 + feats.d + (y is not None)
     if "bad" in rows.columns:
         message = F.lit("null or NaN feature or label; clean it or pass handle_invalid='skip'")
         one = F.when(F.col("bad"), F.raise_error(message).cast("double")).otherwise(F.lit(1.0))
     else:
         one = F.lit(1.0)
-    shift = np.zeros(inner.d) if shift is None else shift
+    shift = np.zeros(feats.d) if shift is None else np.asarray(shift, dtype=float)
+    if wide:
+        return _grouped_wide(rows.withColumn("one", one).drop("bad"), by, shift, y is not None), p
     x = [c - F.lit(float(s)) if s else c for c, s in zip(inner.columns(), shift)]
     z = [one] + x + ([F.col("y")] if y is not None else [])
     sums = [F.sum(z[b] if a == 0 else z[a] * z[b]).alias(f"s{a}_{b}") for a, b in packed_pairs(p)]
     packed = rows.groupBy(*by).agg(*sums)
     names = [f"s{a}_{b}" for a, b in packed_pairs(p)]
     return packed.select(*by, F.array(*names).alias("m")), p
+
+
+def _grouped_wide(rows: DataFrame, by: list[str], shift: np.ndarray, has_y: bool) -> DataFrame:
+    """NumPy Grams per Arrow batch and group, added up by (group, slot); a
+    group then gathers its fixed number of slots."""
+    schema = T.StructType([*(rows.schema[c] for c in by), T.StructField("slot", T.IntegerType()),
+                           T.StructField("part", T.DoubleType())])
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.select(by)
+            codes = keys.to_pandas().groupby(by, dropna=False, sort=False).ngroup().to_numpy()
+            z = [as_numpy(batch["one"]).reshape(-1, 1), as_numpy(batch["x"]) - shift]
+            if has_y:
+                z.append(as_numpy(batch["y"]).reshape(-1, 1))
+            z = np.hstack(z)
+            up = np.triu_indices(z.shape[1])
+            order = np.argsort(codes, kind="stable")
+            starts = np.flatnonzero(np.diff(codes[order], prepend=-1))
+            for at, end in zip(starts, [*starts[1:], len(order)]):
+                mine = z[order[at:end]]
+                packed = (mine.T @ mine)[up]
+                same = keys.take(pa.array(np.full(len(packed), order[at])))
+                yield pa.RecordBatch.from_arrays(
+                    [*same.columns, pa.array(np.arange(len(packed)), pa.int32()), pa.array(packed)],
+                    [*by, "slot", "part"])
+
+    parts = rows.mapInArrow(run, schema)
+    summed = parts.groupBy(*by, "slot").agg(F.sum("part").alias("part"))
+    slots = F.sort_array(F.collect_list(F.struct("slot", "part")))
+    return summed.groupBy(*by).agg(slots.alias("s")).select(*by, F.col("s.part").alias("m"))

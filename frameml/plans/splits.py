@@ -39,6 +39,8 @@ BOUND_SLACK = 1e-8
 # About one bin per this many rows, and at most MAX_BINS per feature.
 ROWS_PER_BIN = 50_000
 MAX_BINS = 4096
+# Features with at most this many distinct values need no bins.
+FEW_VALUES = 4096
 
 
 @dataclass(frozen=True)
@@ -53,13 +55,19 @@ class Binning:
 
 
 def choose_bins(rows: DataFrame, n: float, d: int) -> Binning:
-    """Quantile edges per feature from one sketch aggregation."""
+    """Quantile edges per feature from one sketch aggregation.  No bins are
+    needed when every feature has few distinct values: summing by value is
+    then as small as summing by bin."""
+    none = Binning(tuple(np.empty(0) for _ in range(d)))
     bins = int(min(MAX_BINS, n // ROWS_PER_BIN))
     if bins < 2:
-        return Binning(tuple(np.empty(0) for _ in range(d)))
+        return none
     probs = F.array(*[F.lit(b / bins) for b in range(1, bins)])
     long = rows.select(F.posexplode("x").alias("f", "v"))
-    got = long.groupBy("f").agg(F.percentile_approx("v", probs, 10 * bins).alias("q")).collect()
+    got = long.groupBy("f").agg(F.percentile_approx("v", probs, 10 * bins).alias("q"),
+                                F.approx_count_distinct("v").alias("different")).collect()
+    if max(r["different"] for r in got) <= FEW_VALUES:
+        return none
     edges = {r["f"]: np.unique(np.array(r["q"], dtype=float)) for r in got}
     return Binning(tuple(edges[f] for f in range(d)))
 

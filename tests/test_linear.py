@@ -166,6 +166,34 @@ def test_fit_by_group(spark):
     assert plain["g0"]["status"] == "ok"
 
 
+def test_wide_groups(make):
+    x, g = RNG.normal(size=(300, 18)) + 5, np.arange(300) % 3
+    y = x @ np.arange(18.0)
+    df = make(x, y).withColumn("g", F.when(F.col("id") % 3 == 2, F.lit(None)).otherwise(F.col("id") % 3)).repartition(4)
+    fits = {r["g"]: r for r in solvers.linear_fit_by_group(df, "g", "x", "y", reg=0.5).collect()}
+    dets = {r["g"]: r["det"] for r in solvers.generalized_variance(df, "g", "x").collect()}
+    for key, k in ((0, 0), (1, 1), (None, 2)):
+        z = x[g == k]
+        assert fits[key]["n"] == 100
+        assert np.allclose(fits[key]["theta"], np.linalg.solve(z.T @ z + 0.5 * np.eye(18), z.T @ y[g == k]))
+        assert np.isclose(dets[key], np.linalg.det(np.cov(z.T)), rtol=1e-6)
+    broken = df.withColumn("y", F.when(F.col("id") == 5, float("nan")).otherwise(F.col("y")))
+    with pytest.raises(Exception, match="null or NaN"):
+        solvers.linear_fit_by_group(broken, "g", "x", "y").collect()
+
+
+def test_nan_inside_a_wide_array(make):
+    df = make(RNG.normal(size=(30, 20)), RNG.normal(size=30))
+    for bad in (F.lit(float("nan")), F.lit(None).cast("double")):
+        broken = df.withColumn("x", F.when(F.col("id") == 4, F.transform("x", lambda v: bad)).otherwise(F.col("x")))
+        with pytest.raises(ValueError, match="1 rows"):
+            moments(broken, ("x", 20), "y")
+        assert moments(broken, ("x", 20), "y", handle_invalid="skip").n == 29
+    short = df.withColumn("x", F.when(F.col("id") < 2, F.slice("x", 1, 3)).otherwise(F.col("x")))
+    with pytest.raises(ValueError, match="2 rows"):
+        moments(short, ("x", 20), "y")
+
+
 def test_cholesky_factor():
     a = np.array([[4.0, 12, -16], [12, 37, -43], [-16, -43, 98]])
     low = R.cholesky(a)

@@ -64,6 +64,16 @@ def test_scoring_needs_no_shuffle(fitted):
         assert "Exchange" not in plan
 
 
+def test_batch_scoring_of_null_arrays(spark, monkeypatch):
+    df = spark.createDataFrame([(0, [1.0, 2.0]), (1, None), (2, [3.0, 4.0])], "id long, x array<double>").coalesce(1)
+    from frameml.operators import scoring
+    monkeypatch.setattr(scoring, "MAX_LITERAL_TERMS", 0)
+    out = scoring.dense_layer(df, ("x", 2), [[1.0], [10.0]], [0.5]).orderBy("id").collect()
+    assert [r["out"] for r in out] == [[21.5], None, [43.5]]
+    one = R.linear_predict(df, R.LinearModel((1.0, 10.0)), ("x", 2)).orderBy("id").collect()
+    assert [r["prediction"] for r in one] == [21.0, None, 43.0]
+
+
 def test_only_needed_columns_are_read(spark):
     table = read_table(spark, "/root/testdata/sf0.001", "lineitem")
     model = R.LinearModel((1.0, 2.0))

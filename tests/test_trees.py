@@ -53,6 +53,7 @@ def bins(request, monkeypatch):
     open bins."""
     if request.param != "whole":
         monkeypatch.setattr(splits, "ROWS_PER_BIN", 12)
+        monkeypatch.setattr(splits, "FEW_VALUES", 1)
     if request.param == "many open bins":
         monkeypatch.setattr(splits, "BROADCAST_ROWS", 0)
     return request.param
@@ -121,6 +122,7 @@ def test_bins_rule_out_rows(make, monkeypatch):
     x = np.arange(600.0).reshape(-1, 1)
     y = (x[:, 0] > 299).astype(float) * 10
     monkeypatch.setattr(splits, "ROWS_PER_BIN", 12)
+    monkeypatch.setattr(splits, "FEW_VALUES", 1)
     seen = {}
     original = splits._by_value
 
