@@ -13,7 +13,7 @@ from frameml.operators.trees import (MIN_VARIANCE_GAIN, NODE_SCHEMA, TreeModel,
 from frameml.plans.features import balanced_sum, resolve
 from frameml.plans.lineage import cut_lineage
 from frameml.plans.reduce import persisted
-from frameml.plans.splits import choose_bins, with_bins
+from frameml.plans.splits import NUMERIC, choose_bins, with_bins
 
 # Trees whose CASE expressions may stand in one projection.
 TREES_PER_PROJECTION = 20
@@ -62,13 +62,13 @@ def gbt_fit(df: DataFrame, xs, y, n_estimators: int = 100, lr: float = 0.1, max_
     history = []
     n, base = label_stats(rows)
     binning = choose_bins(rows, n, feats.d)
-    start = with_bins(rows.select("x", (F.col("y") - F.lit(base)).alias("t0")), binning)
+    start = with_bins(rows.select("x", (F.col("y") - F.lit(base)).alias("t")), binning)
     with persisted(start) as cached:
         data = cached
-        total, square = data.agg(F.sum("t0"), F.sum(F.col("t0") * F.col("t0"))).first()
+        total, square = data.agg(F.sum("t"), F.sum(F.col("t") * F.col("t"))).first()
         for t in range(n_estimators):
             root = _Open(0, n, np.array([total]), square)
-            tree, leaves = grow(data, feats, root, 1, not binning.trivial, max_depth, 2,
+            tree, leaves = grow(data, feats, root, NUMERIC, not binning.trivial, max_depth, 2,
                                 leaf_value=lambda o: float(o.s[0] / o.n), stops=lambda o: o.n <= 1,
                                 accepts=lambda gain: gain >= MIN_VARIANCE_GAIN)
             trees.append(tree)
@@ -79,7 +79,7 @@ def gbt_fit(df: DataFrame, xs, y, n_estimators: int = 100, lr: float = 0.1, max_
                 square += o.q - 2 * step * float(o.s[0]) + step * step * o.n
             if t % 10 == 0:
                 history.append((t, square / n))
-            data = data.withColumn("t0", F.col("t0") - F.lit(float(lr)) * tree_column(data, tree, feats))
+            data = data.withColumn("t", F.col("t") - F.lit(float(lr)) * tree_column(data, tree, feats))
             if (t + 1) % TREES_PER_CHECKPOINT == 0 and t + 1 < n_estimators:
                 data = cut_lineage(data)
                 cached.unpersist()

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from frameml.operators.scoring import batch_map
 from frameml.plans.features import Features, bad_count, prepare, raise_on_bad, resolve
-from frameml.plans.lineage import BROADCAST_ROWS, cut_lineage
+from frameml.plans.lineage import BROADCAST_ROWS, collect_small, cut_lineage
 from frameml.plans.reduce import persisted
-from frameml.plans.splits import KnownTotals, TableTotals, best_splits, choose_bins, node_totals, with_bins
+from frameml.plans.splits import (NUMERIC, KnownTotals, TableTotals, Targets, best_splits, choose_bins,
+                                  class_targets, node_totals, with_bins)
 
 # Smallest useful variance gain, impurity that counts as pure.
 MIN_VARIANCE_GAIN = 1e-5
@@ -22,6 +23,10 @@ PURE_GINI = 1e-6
 # nodes in Arrow batches.
 MAX_CASE_LEAVES = 255
 
+# A class label with more distinct values is taken for a mistake: each class
+# is one column of the split search.
+MAX_CLASSES = 10_000
+
 NODE_SCHEMA = ("tree int, node int, is_leaf boolean, value double, feature int, threshold double, "
                "left int, right int")
 
@@ -127,9 +132,9 @@ def _leaf_column(df: DataFrame, nodes, feats: Features, values, returns: str) ->
     return batch_map(feats, _walk_batch, table, "double").cast(returns)
 
 
-def grow(data: DataFrame, feats: Features, root: _Open, k: int, binned: bool, max_depth: int,
+def grow(data: DataFrame, feats: Features, root: _Open, targets: Targets, binned: bool, max_depth: int,
          min_samples_split: int, leaf_value, stops, accepts) -> tuple[TreeModel, dict[int, _Open]]:
-    """Level-wise growth over ``data`` (x, b, t0..).  One search per level
+    """Level-wise growth over ``data`` (x, t and, when binned, b).  One search per level
     covers all open nodes.  A child's sums follow from its parent's split, so
     no extra pass computes leaf values.  Returns the model and each leaf's
     sums."""
@@ -145,8 +150,8 @@ def grow(data: DataFrame, feats: Features, root: _Open, k: int, binned: bool, ma
             tags[o.node] = o.node
         tagged = data.withColumn("node", _leaf_column(data, nodes, feats, tags, "int"))
         tagged = tagged.filter(F.col("node") >= 0)
-        totals = KnownTotals({o.node: (o.n, o.s, o.q) for o in open_nodes}, k)
-        found = best_splits(tagged, totals, k, binned).collect()
+        totals = KnownTotals({o.node: (o.n, o.s, o.q) for o in open_nodes}, targets.k)
+        found = best_splits(tagged, totals, targets, binned).collect()
         level = []
         for r in sorted(found, key=lambda r: r["node"]):
             if not accepts(r["gain"]):
@@ -187,16 +192,23 @@ def tree_regressor_fit(df: DataFrame, xs, y, max_depth: int = 5, min_samples_spl
     rows, feats = training_table(df, xs, y, handle_invalid)
     n, mean = label_stats(rows)
     binning = choose_bins(rows, n, feats.d)
-    data = with_bins(rows.select("x", (F.col("y") - F.lit(mean)).alias("t0")), binning)
+    data = with_bins(rows.select("x", (F.col("y") - F.lit(mean)).alias("t")), binning)
     with persisted(data) as ready:
-        got = ready.agg(F.sum("t0"), F.sum(F.col("t0") * F.col("t0"))).first()
+        got = ready.agg(F.sum("t"), F.sum(F.col("t") * F.col("t"))).first()
         root = _Open(0, n, np.array([got[0]]), got[1])
-        model, _ = grow(ready, feats, root, 1, not binning.trivial, max_depth, min_samples_split,
+        model, _ = grow(ready, feats, root, NUMERIC, not binning.trivial, max_depth, min_samples_split,
                         leaf_value=lambda o: mean + float(o.s[0] / o.n), stops=lambda o: o.n <= 1,
                         accepts=lambda gain: gain >= MIN_VARIANCE_GAIN)
     return model
 
 
+def class_counts(rows: DataFrame) -> tuple[list[float], np.ndarray]:
+    """Class values in ascending order and their row counts."""
+    got = collect_small(rows.groupBy("y").count(), MAX_CLASSES)
+    pairs = sorted(zip(got["y"].to_pylist(), got["count"].to_pylist()))
+    return [y for y, _ in pairs], np.array([n for _, n in pairs], dtype=float)
+
+
 def tree_classifier_fit(df: DataFrame, xs, y, max_depth: int = 5, min_samples_split: int = 2,
                         handle_invalid: str = "error") -> TreeModel:
     """Gini splits; a leaf holds its majority class (the smallest on a tie).
@@ -204,15 +216,12 @@ def tree_classifier_fit(df: DataFrame, xs, y, max_depth: int = 5, min_samples_sp
     its Gini impurity is below 1e-6; a split without any gain is accepted."""
     rows, feats = training_table(df, xs, y, handle_invalid)
     n, _ = label_stats(rows)
-    counts = rows.groupBy("y").count().orderBy("y").collect()
-    classes = [r["y"] for r in counts]
-    k = len(classes)
+    classes, counts = class_counts(rows)
     binning = choose_bins(rows, n, feats.d)
-    hot = [(F.col("y") == F.lit(float(c))).cast("double").alias(f"t{i}") for i, c in enumerate(classes)]
-    data = with_bins(rows.select("x", *hot), binning)
+    data = with_bins(rows.select("x", F.col("y").alias("t")), binning)
     with persisted(data) as ready:
-        root = _Open(0, n, np.array([float(r["count"]) for r in counts]), n)
-        model, _ = grow(ready, feats, root, k, not binning.trivial, max_depth, min_samples_split,
+        root = _Open(0, n, counts, n)
+        model, _ = grow(ready, feats, root, class_targets(classes), not binning.trivial, max_depth, min_samples_split,
                         leaf_value=lambda o: float(classes[int(np.argmax(np.round(o.s)))]),
                         stops=lambda o: 1.0 - float(np.sum((o.s / o.n) ** 2)) < PURE_GINI,
                         accepts=lambda gain: True)
@@ -226,12 +235,12 @@ def _split_table(df: DataFrame, xs, y, by, handle_invalid):
     return rows.withColumn("node", node), feats
 
 
-def _one_level(rows: DataFrame, n: float, feats: Features, targets: list[Column]) -> DataFrame:
+def _one_level(rows: DataFrame, n: float, feats: Features, label: Column, targets: Targets) -> DataFrame:
     binning = choose_bins(rows, n, feats.d)
-    data = with_bins(rows.select("node", "x", *[t.alias(f"t{i}") for i, t in enumerate(targets)]), binning)
-    totals = cut_lineage(node_totals(data, len(targets)))
+    data = with_bins(rows.select("node", "x", label.alias("t")), binning)
+    totals = cut_lineage(node_totals(data, targets))
     few = totals.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    found = best_splits(data, TableTotals(totals, few), len(targets), not binning.trivial, few)
+    found = best_splits(data, TableTotals(totals, few), targets, not binning.trivial, few)
     return found.drop("sum_left", "square_left")
 
 
@@ -240,15 +249,15 @@ def best_split_variance(df: DataFrame, xs, y, by=None, handle_invalid: str = "er
     Groups without a valid split are absent."""
     rows, feats = _split_table(df, xs, y, by, handle_invalid)
     n, mean = label_stats(rows)
-    return _one_level(rows, n, feats, [F.col("y") - F.lit(mean)])
+    return _one_level(rows, n, feats, F.col("y") - F.lit(mean), NUMERIC)
 
 
 def best_split_gini(df: DataFrame, xs, y, by=None, handle_invalid: str = "error") -> DataFrame:
     """Best Gini split per group, gain 0 allowed."""
     rows, feats = _split_table(df, xs, y, by, handle_invalid)
     n, _ = label_stats(rows)
-    classes = [r["y"] for r in rows.select("y").distinct().orderBy("y").collect()]
-    return _one_level(rows, n, feats, [(F.col("y") == F.lit(float(c))).cast("double") for c in classes])
+    classes, _ = class_counts(rows)
+    return _one_level(rows, n, feats, F.col("y"), class_targets(classes))
 
 
 def tree_column(df: DataFrame, model: TreeModel, xs) -> Column:

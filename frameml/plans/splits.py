@@ -142,11 +142,47 @@ def _corner_bound(k: int) -> str:
     return f"(({sql_sum(parts)} - {_square_sum(_names('all_s', k))} / all_n) / all_n)"
 
 
-def node_totals(rows: DataFrame, k: int) -> DataFrame:
+@dataclass(frozen=True)
+class Targets:
+    """What to sum of the label column ``t``: SQL expressions, the sum of
+    their squares, and their smallest and largest values when known."""
+
+    exprs: tuple[str, ...]
+    square: str
+    bounds: tuple[float, float] | None = None
+
+    @property
+    def k(self) -> int:
+        return len(self.exprs)
+
+    def sums(self, prefix: str = "") -> list[Column]:
+        return [F.expr("cast(count(1) as double)").alias(f"{prefix}n"),
+                *[F.expr(f"sum({e})").alias(f"{prefix}s{i}") for i, e in enumerate(self.exprs)],
+                F.expr(f"sum({self.square})").alias(f"{prefix}q")]
+
+    def ranges(self) -> list[Column]:
+        if self.bounds is not None:
+            return []
+        return [F.expr(f"{fn}({e})").alias(f"{name}{i}") for i, e in enumerate(self.exprs)
+                for fn, name in (("min", "lo"), ("max", "hi"))]
+
+    def known_ranges(self) -> list[str]:
+        if self.bounds is None:
+            return []
+        return [f"{b!r}D as {name}{i}" for i in range(self.k) for b, name in zip(self.bounds, ("lo", "hi"))]
+
+
+NUMERIC = Targets(("t",), "t * t")
+
+
+def class_targets(classes) -> Targets:
+    """One 0/1 indicator per class value; a row's squares add up to 1."""
+    return Targets(tuple(f"if(t = {float(c)!r}D, 1D, 0D)" for c in classes), "1D", (0.0, 1.0))
+
+
+def node_totals(rows: DataFrame, targets: Targets) -> DataFrame:
     """Per node: all_n, all_s0.., all_q (sum of squared targets)."""
-    sums = [F.expr(f"sum(t{i})").alias(f"all_s{i}") for i in range(k)]
-    return rows.groupBy("node").agg(F.expr("cast(count(1) as double)").alias("all_n"), *sums,
-                                    F.expr(f"sum{_square_sum(_names('t', k))}").alias("all_q"))
+    return rows.groupBy("node").agg(*targets.sums("all_"))
 
 
 class KnownTotals:
@@ -180,13 +216,12 @@ class TableTotals:
         return df.join(self.totals, "node")
 
 
-def _long(rows: DataFrame, k: int, binned: bool) -> DataFrame:
-    """One line per row and feature: node, t0.., f, v and, when binned, bin."""
-    keep = ["node", *_names("t", k)]
+def _long(rows: DataFrame, binned: bool) -> DataFrame:
+    """One line per row and feature: node, t, f, v and, when binned, bin."""
     if not binned:
-        return rows.selectExpr(*keep, "posexplode(x) as (f, v)")
-    pairs = rows.selectExpr(*keep, "posexplode(arrays_zip(b, x)) as (f, e)")
-    return pairs.selectExpr(*keep, "f", "e.b as bin", "e.x as v")
+        return rows.selectExpr("node", "t", "posexplode(x) as (f, v)")
+    pairs = rows.selectExpr("node", "t", "posexplode(arrays_zip(b, x)) as (f, e)")
+    return pairs.selectExpr("node", "t", "f", "e.b as bin", "e.x as v")
 
 
 def _best(k: int, *sources: DataFrame) -> DataFrame:
@@ -206,15 +241,9 @@ def _best(k: int, *sources: DataFrame) -> DataFrame:
                                "best.sl as sum_left", "best.ql as square_left")
 
 
-def _sums(k: int) -> list[Column]:
-    return [F.expr("cast(count(1) as double)").alias("n"),
-            *[F.expr(f"sum(t{i})").alias(f"s{i}") for i in range(k)],
-            F.expr(f"sum{_square_sum(_names('t', k))}").alias("q")]
-
-
-def _by_value(long: DataFrame, keys: list[str], k: int) -> DataFrame:
+def _by_value(long: DataFrame, keys: list[str], targets: Targets) -> DataFrame:
     """Sums by (keys, v): heavy duplicate values collapse on the map side."""
-    return long.groupBy(*keys, "v").agg(*_sums(k))
+    return long.groupBy(*keys, "v").agg(*targets.sums())
 
 
 def _with_left(c: DataFrame, k: int, parts: list[str], order: str, offsets: bool) -> DataFrame:
@@ -230,21 +259,21 @@ def _with_left(c: DataFrame, k: int, parts: list[str], order: str, offsets: bool
                         left("q", "q_before", "ql"))
 
 
-def best_splits(rows: DataFrame, totals: KnownTotals | TableTotals, k: int, binned: bool,
+def best_splits(rows: DataFrame, totals: KnownTotals | TableTotals, targets: Targets, binned: bool,
                 few_nodes: bool = True) -> DataFrame:
-    """Best split per node of ``rows`` (node, x, t0.. and, when binned, b).
+    """Best split per node of ``rows`` (node, x, t and, when binned, b).
     ``few_nodes`` says the number of nodes is known to be small."""
-    long = _long(rows, k, binned)
+    k = targets.k
+    long = _long(rows, binned)
     if not binned:
-        swept = totals.add(_with_left(_by_value(long, ["node", "f"], k), k, ["node", "f"], "v", offsets=False))
+        swept = totals.add(_with_left(_by_value(long, ["node", "f"], targets), k, ["node", "f"], "v", offsets=False))
         return _best(k, swept.filter("nl < all_n").selectExpr("*", f"{_gain(k)} as gain"))
 
-    ranges = [F.expr(f"{fn}(t{i})").alias(f"{name}{i}") for i in range(k) for fn, name in (("min", "lo"), ("max", "hi"))]
-    hist = long.groupBy("node", "f", "bin").agg(*_sums(k), F.expr("min(v)").alias("v_min"),
-                                                F.expr("max(v)").alias("v"), *ranges)
+    hist = long.groupBy("node", "f", "bin").agg(*targets.sums(), F.expr("min(v)").alias("v_min"),
+                                                F.expr("max(v)").alias("v"), *targets.ranges())
     ends = totals.add(_with_left(hist, k, ["node", "f"], "bin", offsets=False))
     ends = ends.selectExpr("*", "nl - n as n_before", *[f"sl{i} - s{i} as s_before{i}" for i in range(k)],
-                           "ql - q as q_before")
+                           "ql - q as q_before", *targets.known_ranges())
     ends = cut_lineage(ends.selectExpr("*", f"if(nl < all_n, {_gain(k)}, null) as gain",
                                        f"{_corner_bound(k)} as bound"))
     floors = ends.groupBy("node").agg(F.expr("max(gain)").alias("floor"))
@@ -258,9 +287,9 @@ def best_splits(rows: DataFrame, totals: KnownTotals | TableTotals, k: int, binn
     few = open_bins.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     if few:
         mask = F.broadcast(open_bins.select(*keys))
-        counted = _by_value(long.join(mask, keys, "left_semi"), keys, k).join(F.broadcast(open_bins), keys)
+        counted = _by_value(long.join(mask, keys, "left_semi"), keys, targets).join(F.broadcast(open_bins), keys)
     else:
-        counted = _by_value(long, keys, k).join(open_bins, keys)
+        counted = _by_value(long, keys, targets).join(open_bins, keys)
     inside = _with_left(counted, k, keys, "v", offsets=True).filter("nl < all_n")
     inside = inside.selectExpr("*", f"{_gain(k)} as gain")
     return _best(k, at_ends, inside)
