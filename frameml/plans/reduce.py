@@ -6,12 +6,13 @@ per task, never a row.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterable, Sequence
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,17 +41,20 @@ def partition_sums(df: DataFrame, kernel: Callable, size: int, state=None) -> np
     """``kernel(columns, state) -> vector[size]`` on every Arrow batch, added up
     over each partition in NumPy and over partitions by a Spark aggregation.
 
-    ``state`` is model-sized and is shipped as a broadcast variable.
+    ``state`` is model-sized and is shipped as a broadcast variable.  It is
+    pickled by value first: a plain broadcast would look up the state's
+    classes in a copy of this package that executors need not have.
     """
     sc = df.sparkSession.sparkContext
-    shared = sc.broadcast(state)
+    shared = sc.broadcast(cloudpickle.dumps(state))
 
     def run(batches: Iterable[pa.RecordBatch]):
         total = np.zeros(size)
+        current = pickle.loads(shared.value)
         for batch in batches:
             if batch.num_rows:
                 cols = {n: as_numpy(c) for n, c in zip(batch.schema.names, batch.columns)}
-                total += kernel(cols, shared.value)
+                total += kernel(cols, current)
         slots = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(slots, pa.int64()), pa.array(total[slots], pa.float64())], ["slot", "part"])
