@@ -64,17 +64,17 @@ def assignment(df: DataFrame, xs, centres) -> Column:
     return batch_map(feats, lambda z, s: _nearest(z, s).argmin(axis=1).astype(np.int32), c, "int")
 
 
-def _start_pass(rows: DataFrame, feats: Features, id: str, centres: np.ndarray | None, step: int, seed: int):
+def _start_pass(rows: DataFrame, feats: Features, centres: np.ndarray | None, step: int, seed: int):
     """The row with the smallest -ln(u)/weight is a draw with probability
     proportional to its weight; ``min_by`` finds it with a partial
     aggregation, so no row is sorted or shuffled."""
-    u = uniform(id, F.lit(step).cast("long"), seed=seed)
+    u = uniform("row_id", F.lit(step).cast("long"), seed=seed)
     if centres is None:
         key = -F.log(u)
     else:
         gap = nearest_distance(rows, feats, centres)
         key = F.when(gap > 0, -F.log(u) / gap).otherwise(F.lit(float("inf")))
-    pick = F.min_by(feats.array(), F.struct(key, F.col(id)))
+    pick = F.min_by(feats.array(), F.struct(key, F.col("row_id")))
     return rows.agg(pick.alias("pick"), F.count(F.lit(1)).alias("n"), bad_count(rows).alias("bad")).first()
 
 
@@ -88,15 +88,15 @@ def kmeans_init_pp(df: DataFrame, xs, k: int, id: str, seed: int = 0,
         raise ValueError("k must be at least 1")
     feats = resolve(df, xs)
     wide = k * feats.d > MAX_LITERAL_TERMS
-    rows, inner, _ = prepare(df, feats, keep=[id], handle_invalid=handle_invalid, as_array=wide)
+    rows, inner, _ = prepare(df, feats, keep={"row_id": id}, handle_invalid=handle_invalid, as_array=wide)
     with persisted(rows) as data:
-        return _init_pp(data, inner, k, id, seed)
+        return _init_pp(data, inner, k, seed)
 
 
-def _init_pp(data: DataFrame, feats: Features, k: int, id: str, seed: int) -> np.ndarray:
+def _init_pp(data: DataFrame, feats: Features, k: int, seed: int) -> np.ndarray:
     centres = None
     for step in range(k):
-        got = _start_pass(data, feats, id, centres, step, seed)
+        got = _start_pass(data, feats, centres, step, seed)
         raise_on_bad(got["bad"], got["n"])
         if k > got["n"]:
             raise ValueError(f"{k} clusters from {got['n']} rows")
@@ -151,11 +151,11 @@ def kmeans_fit(df: DataFrame, xs, k: int = 3, max_iters: int = 100, init=None, i
     if init is not None and np.asarray(init).shape != (k, feats.d):
         raise ValueError(f"init of shape {np.asarray(init).shape}, expected {(k, feats.d)}")
     wide = k * feats.d > MAX_LITERAL_TERMS
-    keep = [] if id is None else [id]
+    keep = {} if id is None else {"row_id": id}
     rows, inner, _ = prepare(df, feats, keep=keep, handle_invalid=handle_invalid, as_array=wide)
     with persisted(rows) as data:
         if init is None:
-            new = _init_pp(data, inner, k, id, seed)
+            new = _init_pp(data, inner, k, seed)
         else:
             seen = data.agg(bad_count(data).alias("bad"), F.count(F.lit(1)).alias("n")).first()
             raise_on_bad(seen["bad"], seen["n"])

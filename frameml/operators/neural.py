@@ -229,11 +229,11 @@ def mlp_fit(df: DataFrame, xs, y, network: Network | None = None, hidden: Sequen
     drops = any(l.kind == "dropout" for l in layers)
     if id is None and (drops or batches > 1):
         raise ValueError("dropout and batches need a unique id column")
-    rows, _, _ = prepare(df, feats, {"y": y}, keep=[] if id is None else [id],
+    rows, _, _ = prepare(df, feats, {"y": y}, keep={} if id is None else {"key": id},
                          handle_invalid=handle_invalid, as_array=True)
     if id is not None:
-        rows = rows.withColumns({"bucket": F.pmod(F.xxhash64(id, F.lit(seed)), F.lit(batches)).cast("int"),
-                                 "row_id": F.xxhash64(id)})
+        rows = rows.withColumns({"bucket": F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(batches)).cast("int"),
+                                 "row_id": F.xxhash64("key")})
     if batches > 1:
         # Cached blocks then hold few buckets each, and a step skips the
         # others by their min/max statistics.  No shuffle is needed for it.

@@ -11,7 +11,7 @@ from frameml.functions.vectors import dot
 from frameml.operators.regression import PIVOT_TOLERANCE, cholesky
 from frameml.plans.features import balanced_sum, resolve
 from frameml.plans.lineage import cut_lineage, join_summary
-from frameml.plans.moments import column_shift, grouped_moments, centred_moments, packed_pairs
+from frameml.plans.moments import SUMS, centred_moments, column_shift, grouped_moments, packed_pairs
 
 
 def _unstack(packed: pd.Series, p: int) -> np.ndarray:
@@ -46,7 +46,7 @@ def generalized_variance(df: DataFrame, by, xs, handle_invalid: str = "error") -
         cov[single] = np.eye(cov.shape[1])
         return pd.DataFrame({"n": n.astype("int64"), "det": pd.Series(np.linalg.det(cov)).mask(single)})
 
-    return packed.withColumn("r", determinant("m")).select(*_keys(by), "r.n", "r.det")
+    return packed.withColumn("__r", determinant(SUMS)).select(*_keys(by), "__r.n", "__r.det")
 
 
 def linear_fit_by_group(df: DataFrame, by, xs, y, reg: float = 0.0, handle_invalid: str = "error") -> DataFrame:
@@ -70,7 +70,7 @@ def linear_fit_by_group(df: DataFrame, by, xs, y, reg: float = 0.0, handle_inval
                 status.append("singular")
         return pd.DataFrame({"n": z[:, 0, 0].astype("int64"), "theta": theta, "status": status})
 
-    return packed.withColumn("r", solve("m")).select(*_keys(by), "r.n", "r.theta", "r.status")
+    return packed.withColumn("__r", solve(SUMS)).select(*_keys(by), "__r.n", "__r.theta", "__r.status")
 
 
 def whiten(df: DataFrame, xs, output: str = "w", handle_invalid: str = "error") -> DataFrame:
@@ -102,12 +102,12 @@ def mahalanobis(df: DataFrame, xs, by, output: str = "distance_sq", handle_inval
         return pd.DataFrame({"mu": list(mean + shift), "inv": inv})
 
     keys = _keys(by)
-    summary = cut_lineage(packed.withColumn("r", invert("m")).select(*keys, "r.mu", "r.inv"))
+    summary = cut_lineage(packed.withColumn("__r", invert(SUMS)).select(*keys, F.col("__r.mu").alias("__mu"), F.col("__r.inv").alias("__inv")))
     rows = df if handle_invalid == "error" else df.filter(feats.valid())
-    gaps = [c - F.col("mu")[j] for j, c in enumerate(feats.columns())]
+    gaps = [c - F.col("__mu")[j] for j, c in enumerate(feats.columns())]
     joined = join_summary(rows, summary, keys, "left")
-    terms = [gaps[a] * gaps[b] * F.col("inv")[a * d + b] for a in range(d) for b in range(d)]
-    return joined.withColumn(output, balanced_sum(terms)).drop("mu", "inv")
+    terms = [gaps[a] * gaps[b] * F.col("__inv")[a * d + b] for a in range(d) for b in range(d)]
+    return joined.withColumn(output, balanced_sum(terms)).drop("__mu", "__inv")
 
 
 def _keys(by) -> list[str]:

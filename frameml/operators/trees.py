@@ -229,10 +229,9 @@ def tree_classifier_fit(df: DataFrame, xs, y, max_depth: int = 5, min_samples_sp
 
 
 def _split_table(df: DataFrame, xs, y, by, handle_invalid):
-    keep = [] if by is None else [by]
+    keep = {} if by is None else {"node": by}
     rows, feats, _ = prepare(df, xs, {"y": y}, keep=keep, handle_invalid=handle_invalid, as_array=True)
-    node = F.lit(0) if by is None else F.col(by)
-    return rows.withColumn("node", node), feats
+    return (rows.withColumn("node", F.lit(0)) if by is None else rows), feats
 
 
 def _one_level(rows: DataFrame, n: float, feats: Features, label: Column, targets: Targets) -> DataFrame:

@@ -87,17 +87,17 @@ def check_policy(handle_invalid: str) -> None:
         raise ValueError("handle_invalid must be 'error' or 'skip'")
 
 
-def prepare(df: DataFrame, xs, labels: dict[str, object] | None = None, keep=(),
+def prepare(df: DataFrame, xs, labels: dict[str, object] | None = None, keep: dict[str, str] | None = None,
             handle_invalid: str = "error", as_array: bool = False,
             nan_later: bool = False) -> tuple[DataFrame, Features, list[str]]:
     """Project to the columns a fit needs: features as ``x0..`` (or one array
-    ``x``), labels under their given names, ``keep`` columns, and ``bad`` when
+    ``x``), labels under their given names, ``keep`` (new name: column), and ``bad`` when
     invalid rows must be reported.  With ``nan_later`` the caller looks for
     null and NaN elements of ``x`` itself (NumPy does it faster than a lambda
     per element).  Returns (frame, features, label names)."""
     check_policy(handle_invalid)
     feats = resolve(df, xs)
-    cols = [F.col(k) for k in keep]
+    cols = [F.col(source).alias(name) for name, source in (keep or {}).items()]
     if nan_later and as_array and handle_invalid == "error":
         ok = F.size(feats.array()).eqNullSafe(F.lit(feats.d))
     else:

@@ -16,6 +16,9 @@ from frameml.plans.reduce import as_numpy, partition_sums
 # Up to this width the sums are generated code; wider rows use NumPy Grams.
 NARROW = 16
 
+# Column of packed sums; user columns keep their names beside it.
+SUMS = "__sums"
+
 
 @dataclass(frozen=True)
 class Moments:
@@ -163,14 +166,16 @@ def _harmless(rows: DataFrame, d: int, labels=()) -> DataFrame:
 
 def grouped_moments(df: DataFrame, by, xs, y=None, shift=None,
                     handle_invalid: str = "error") -> tuple[DataFrame, int]:
-    """One line per group: the ``by`` columns and ``m``, the packed upper
+    """One line per group: the ``by`` columns and ``SUMS``, the packed upper
     triangle of the sums of [1, x - shift, y].  Partial sums form before the
     shuffle, so a group holding a third of the rows costs one line per task."""
     by = [by] if isinstance(by, str) else list(by)
     feats = resolve(df, xs)
     wide = feats.d > NARROW
     labels = {"y": y} if y is not None else {}
-    rows, inner, _ = prepare(df, feats, labels, keep=by, handle_invalid=handle_invalid, as_array=wide)
+    keys = {f"by{k}": c for k, c in enumerate(by)}
+    rows, inner, _ = prepare(df, feats, labels, keep=keys, handle_invalid=handle_invalid, as_array=wide)
+    back = [F.col(k).alias(c) for k, c in keys.items()]
     p = 1 + feats.d + (y is not None)
     if "bad" in rows.columns:
         message = F.lit("null or NaN feature or label; clean it or pass handle_invalid='skip'")
@@ -179,13 +184,14 @@ def grouped_moments(df: DataFrame, by, xs, y=None, shift=None,
         one = F.lit(1.0)
     shift = np.zeros(feats.d) if shift is None else np.asarray(shift, dtype=float)
     if wide:
-        return _grouped_wide(rows.withColumn("one", one).drop("bad"), by, shift, y is not None), p
+        found = _grouped_wide(rows.withColumn("one", one).drop("bad"), list(keys), shift, y is not None)
+        return found.select(*back, SUMS), p
     x = [c - F.lit(float(s)) if s else c for c, s in zip(inner.columns(), shift)]
     z = [one] + x + ([F.col("y")] if y is not None else [])
     sums = [F.sum(z[b] if a == 0 else z[a] * z[b]).alias(f"s{a}_{b}") for a, b in packed_pairs(p)]
-    packed = rows.groupBy(*by).agg(*sums)
+    packed = rows.groupBy(*keys).agg(*sums)
     names = [f"s{a}_{b}" for a, b in packed_pairs(p)]
-    return packed.select(*by, F.array(*names).alias("m")), p
+    return packed.select(*back, F.array(*names).alias(SUMS)), p
 
 
 def _grouped_wide(rows: DataFrame, by: list[str], shift: np.ndarray, has_y: bool) -> DataFrame:
@@ -218,4 +224,4 @@ def _grouped_wide(rows: DataFrame, by: list[str], shift: np.ndarray, has_y: bool
     parts = rows.mapInArrow(run, schema)
     summed = parts.groupBy(*by, "slot").agg(F.sum("part").alias("part"))
     slots = F.sort_array(F.collect_list(F.struct("slot", "part")))
-    return summed.groupBy(*by).agg(slots.alias("s")).select(*by, F.col("s.part").alias("m"))
+    return summed.groupBy(*by).agg(slots.alias("s")).select(*by, F.col("s.part").alias(SUMS))

@@ -194,6 +194,16 @@ def test_nan_inside_a_wide_array(make):
         moments(short, ("x", 20), "y")
 
 
+def test_group_columns_may_have_any_name(make):
+    df = make(RNG.normal(size=(40, 2)), np.arange(40) % 2)
+    for name in ("y", "x0", "m", "r", "bad", "mu"):
+        named = df.select((F.col("y") + 1).alias("label"), F.col("x0").alias("u"), F.col("x1").alias("w"),
+                          F.col("y").alias(name))
+        assert solvers.linear_fit_by_group(named, name, ["u", "w"], "label", reg=1.0).count() == 2
+        assert solvers.generalized_variance(named, name, ["u", "w"]).columns == [name, "n", "det"]
+    assert solvers.mahalanobis(named, ["u", "w"], name).filter("distance_sq > 0").count() == 40
+
+
 def test_cholesky_factor():
     a = np.array([[4.0, 12, -16], [12, 37, -43], [-16, -43, 98]])
     low = R.cholesky(a)
