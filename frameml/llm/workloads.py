@@ -1,8 +1,8 @@
 """The registered queries of this subpackage."""
 
-from frameml.llm import embedding_neardup, jaccard_join, pii
+from frameml.llm import decontamination, embedding_neardup, jaccard_join, packing, pii, quality
 
-_MODULES = (embedding_neardup, jaccard_join, pii)
+_MODULES = (embedding_neardup, decontamination, quality, packing, jaccard_join, pii)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in _MODULES for name, sql in module.SQL.items()}
