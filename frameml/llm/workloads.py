@@ -1,8 +1,9 @@
 """The registered queries of this subpackage."""
 
-from frameml.llm import decontamination, embedding_neardup, jaccard_join, packing, pii, quality, suffix_dedup
+from frameml.llm import (decontamination, embedding_neardup, html_text, jaccard_join, language, licenses, packing, pii,
+                         quality, suffix_dedup)
 
-_MODULES = (embedding_neardup, decontamination, quality, packing, jaccard_join, pii, suffix_dedup)
+_MODULES = (embedding_neardup, decontamination, quality, packing, licenses, language, html_text, jaccard_join, pii, suffix_dedup)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in _MODULES for name, sql in module.SQL.items()}
