@@ -157,15 +157,17 @@ def _map_suffixes(splitters: np.ndarray, buckets: int):
 
         def flush():
             doc, a, lo, hi, token, digest = (np.concatenate(c) for c in zip(*held))
+            given = doc, a, lo, hi, token, digest
             order = multikey_sort(token, digest, doc, a)
-            doc, a, lo, hi, token, digest = (c[order] for c in (doc, a, lo, hi, token, digest))
+            doc, a, lo, hi, token, digest = (c[order] for c in given)
             head = _heads(token, digest)
             again = (doc != doc[head]) | (a != a[head])
             out = _ranges(doc[again], lo[again], hi[again] + LENGTH, buckets)
-            one = head == np.arange(len(head))
+            # Sent in the order of the texts, in which ids compress.
+            one = np.sort(order[head == np.arange(len(head))])
+            doc, a, lo, hi, token, digest = (c[one] for c in given)
             packed = (a << 16) | ((a - lo) << 8) | (hi - lo)
-            out += _pack(np.searchsorted(splitters, token[one].view(np.int64) >> 1), 1,
-                         token[one], digest[one], doc[one], packed[one])
+            out += _pack(np.searchsorted(splitters, token.view(np.int64) >> 1), 1, token, digest, doc, packed)
             yield _rows(out)
 
         for batch in batches:
@@ -252,14 +254,16 @@ def _windows(buckets: int):
 
 
 def _first_windows(digest, doc, start, buckets: int, pass_on: bool):
-    order = multikey_sort(digest, doc, start)
-    digest, doc, start = digest[order], doc[order], start[order]
+    given = digest, doc, start
+    order = multikey_sort(*given)
+    digest, doc, start = (c[order] for c in given)
     head = _heads(digest)
     again = (doc != doc[head]) | (start != start[head])
     out = _ranges(doc[again], start[again], start[again] + LENGTH, buckets)
     if pass_on:
-        one = head == np.arange(len(head))
-        out += _pack((digest[one] % np.uint64(buckets)).astype(np.int64), 1, digest[one], doc[one], start[one])
+        one = np.sort(order[head == np.arange(len(head))])
+        digest, doc, start = (c[one] for c in given)
+        out += _pack((digest % np.uint64(buckets)).astype(np.int64), 1, digest, doc, start)
     return out
 
 
