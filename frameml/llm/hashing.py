@@ -91,7 +91,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start, end, np.searchsorted(offsets, start, "right") - 1
 
 
-def shingle_sets(column, width: int, hasher: PrefixHash, most: int = 2_000_000):
+def shingle_sets(column, width: int, hasher: PrefixHash, most: int = 1_000_000):
     """Yield (row, sorted distinct shingle digests) for every text of the column.
 
     Words are lower-cased by A-Z.  A text of fewer than ``width`` words has one

@@ -10,9 +10,10 @@ two sets agree on one of the ``n2`` subsets of ``n2 - 1`` partitions of that
 group.  Every (instance, group, subset) gives one signature.
 
 Sets that share a signature meet at the smallest id of its bucket (a star, not
-all pairs).  Stars are verified exactly; buckets whose members then still lie
-in different components have all their pairs across components verified, so no
-link between different components is lost.
+all pairs).  Stars are filtered by sketches and verified exactly; buckets whose
+members then still lie in different components compare the sketches of all pairs
+across components, in tiles of bounded size, and the pairs left are verified, so
+no link between different components is lost.
 """
 
 from __future__ import annotations
@@ -31,10 +32,12 @@ from frameml.sources.tables import read_table
 # Bytes of text whose signatures one bucket of the shuffle holds, about.
 BUCKET_BYTES = 16_000_000
 # Signatures gathered in a map task before equal ones are combined and sent.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 BAND_RATIO = 1.3
 # Bands of smaller sets leave one of three partitions out, others one of two.
 FINE_TOP = 512
+# Members of a bucket that one tile compares with as many others.
+TILE = 1024
 
 PACKED = "bucket long, kind int, payload binary"
 ROWS = "kind int, a long, b long, c long, d long"
@@ -175,51 +178,131 @@ def _reduce_bucket(table):
            for i, name in enumerate("abcd")}})
 
 
-def _map_sets(width: int):
-    """(doc_id, text) to (id, shingles array<long>)."""
+def _map_sets(width: int, sketched: bool = False):
+    """(doc_id, text) to (id, n, shingles array<long>) or to (id, n, sketch binary)."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         hasher = PrefixHash()
-        for batch in batches:
-            ids, rows, held = batch.column("doc_id"), [], 0
-            where = []
 
-            def out():
-                return pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(where)), pa.ListArray.from_arrays(
-                        pa.array(np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)),
-                        pa.array(np.concatenate(rows).view(np.int64)))], names=["id", "shingles"])
+        def out(ids, where, rows):
+            sizes = [len(r) for r in rows]
+            if sketched:
+                values = pa.array([sketch(r).tobytes() for r in rows], pa.binary())
+            else:
+                values = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)),
+                                                  pa.array(np.concatenate(rows).view(np.int64)))
+            return pa.RecordBatch.from_arrays([ids.take(pa.array(where)), pa.array(sizes, pa.int64()), values],
+                                              names=["id", "n", "value"])
 
+        for batch in batches:
+            ids, where, rows, held = batch.column("doc_id"), [], [], 0
             for row, shingles in shingle_sets(batch.column("text"), width, hasher):
                 rows.append(shingles)
                 where.append(row)
                 held += len(shingles)
                 if held > 500_000:
-                    yield out()
-                    rows, where, held = [], [], 0
+                    yield out(ids, where, rows)
+                    where, rows, held = [], [], 0
             if rows:
-                yield out()
+                yield out(ids, where, rows)
+
+    return run
+
+
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """One byte for each of 2**m slots, the sum of the digests that fall there; 2**m is at least half the set's size.
+
+    Sets that differ in d elements differ in at most d slots, so slots bound the
+    difference from below.  Adding neighbouring slots gives the sketch of half the size.
+    """
+    m = max(int(len(shingles) - 1).bit_length() - 1, 3)
+    slots = np.zeros(1 << m, np.uint8)
+    np.add.at(slots, (shingles >> np.uint64(64 - m)).astype(np.int64), mix(shingles).astype(np.uint8))
+    return slots
+
+
+def fold(slots: np.ndarray, size: int) -> np.ndarray:
+    return slots if len(slots) == size else slots.reshape(size, -1).sum(axis=1, dtype=np.uint8)
+
+
+def _close(n, others, differing, percent: int):
+    """Whether sizes and differing slots leave room for the similarity."""
+    small, large = np.minimum(n, others), np.maximum(n, others)
+    return (small * 100 >= large * percent) & (differing * (100 + percent) <= (100 - percent) * (small + large))
+
+
+def _pairs_left(percent: int):
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            n, other = (batch.column(c).to_numpy() for c in ("n", "o"))
+            differ = np.zeros(len(n), np.int64)
+            for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"))):
+                x, y = np.frombuffer(x.as_py(), np.uint8), np.frombuffer(y.as_py(), np.uint8)
+                size = min(len(x), len(y))
+                differ[i] = np.count_nonzero(fold(x, size) != fold(y, size))
+            yield batch.select(["a", "b"]).filter(pa.array(_close(n, other, differ, percent)))
+
+    return run
+
+
+def _tile_left(percent: int):
+    """Pairs of one tile of a bucket, across components, that their sketches leave possible."""
+    def run(key, table):
+        import pyarrow as pa
+
+        first = key[1].as_py()
+        ids, n, part, chunk = (table.column(c).to_numpy() for c in ("id", "n", "part", "chunk"))
+        raw = [np.frombuffer(x, np.uint8) for x in table.column("value").to_pylist()]
+        lists = [set(x) for x in table.column("sigs").to_pylist()]
+        size = min(map(len, raw))
+        slots = np.stack([fold(x, size) for x in raw])
+        one, two = [], []
+        across = key[1].as_py() != key[2].as_py()
+        for i in range(len(ids)):
+            j = np.flatnonzero(chunk != first) if across and chunk[i] == first else (
+                np.arange(0) if across else np.arange(i + 1, len(ids)))
+            j = j[(part[j] != part[i]) & _close(n[i], n[j], 0, percent)]
+            if len(j):
+                j = j[_close(n[i], n[j], np.count_nonzero(slots[j] != slots[i], axis=1), percent)]
+                # A pair of several buckets belongs to the bucket of the smallest number.
+                j = j[np.array([lists[i].isdisjoint(lists[k]) for k in j], bool)]
+            one.append(np.full(len(j), i))
+            two.append(j)
+        a, b = ids[np.concatenate(one)], ids[np.concatenate(two)]
+        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar."""
+def _texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The documents that the pairs name."""
+    ids = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    return join_summary(docs, ids, "doc_id", "left_semi")
+
+
+def _possible(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that their sketches leave possible."""
+    slots = _texts_of(docs, pairs).mapInArrow(_map_sets(width, True), "id long, n long, value binary")
+    left = slots.select(F.col("id").alias("a"), "n", F.col("value").alias("x"))
+    right = slots.select(F.col("id").alias("b"), F.col("n").alias("o"), F.col("value").alias("y"))
+    return pairs.join(left, "a").join(right, "b").mapInArrow(_pairs_left(percent), "a long, b long").distinct()
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar; a repeated id links by any of its texts."""
+    sets = _texts_of(docs, pairs).mapInArrow(_map_sets(width), "id long, n long, value array<long>")
+    left = sets.select(F.col("id").alias("a"), F.col("value").alias("x"))
+    right = sets.select(F.col("id").alias("b"), F.col("value").alias("y"))
     common = F.size(F.array_intersect("x", "y")).cast("long")
-    return (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
+    return (pairs.join(left, "a").join(right, "b")
             .select("a", "b", common.alias("both"), (F.size("x") + F.size("y")).alias("total"))
             .where(100 * F.col("both") >= percent * (F.col("total") - F.col("both")))
             .select("a", "b"))
 
 
-def _sets_of(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    ids = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    found = join_summary(docs, ids, "doc_id", "left_semi").mapInArrow(_map_sets(width), "id long, shingles array<long>")
-    return cut_lineage(found.dropDuplicates(["id"]))
-
-
 def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """One row per document: (doc_id, n_shingles, component_id).
@@ -232,8 +315,8 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, id_co
     Other columns are ignored.  An empty table gives an empty result.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    nameless = (docs.where(F.col("doc_id").isNull()).mapInArrow(_map_sets(width), "id long, shingles array<long>")
-                .select(F.col("id").alias("doc_id"), F.size("shingles").cast("long").alias("n_shingles"),
+    nameless = (docs.where(F.col("doc_id").isNull()).mapInArrow(_map_sets(width), "id long, n long, value array<long>")
+                .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
                         F.lit(None).cast("long").alias("component_id")))
     docs = docs.where(F.col("doc_id").isNotNull())
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -248,45 +331,59 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, id_co
     member = cut_lineage(sets.join(classes, key, "left"))
     rep = member.select("doc_id", "rep").distinct()
     stars = rows.where("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("hub"), F.col("c").alias("member"))
-    stars = (stars.join(rep.select(F.col("doc_id").alias("hub"), F.col("rep").alias("p")), "hub")
-             .join(rep.select(F.col("doc_id").alias("member"), F.col("rep").alias("q")), "member")
-             .where("p != q").select("sig", F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct())
-    stars = cut_lineage(stars)
-    tried = cut_lineage(stars.select("a", "b").distinct())
-    links = cut_lineage(_verified(tried, _sets_of(docs, tried, width), percent))
-    parts = cut_lineage(connected_components(links))
-    rest = cut_lineage(_pairs_across(stars, tried, parts))
-    more = _verified(rest, _sets_of(docs, rest, width), percent)
+    stars = cut_lineage(
+        stars.join(rep.select(F.col("doc_id").alias("hub"), F.col("rep").alias("p")), "hub")
+        .join(rep.select(F.col("doc_id").alias("member"), F.col("rep").alias("q")), "member")
+        .where("p != q").select("sig", F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct())
+    likely = cut_lineage(_possible(cut_lineage(stars.select("a", "b").distinct()), docs, width, percent))
+    parts = cut_lineage(connected_components(_verified(likely, docs, width, percent)))
+    rest = cut_lineage(_pairs_across(stars, parts, docs, width, percent).join(likely, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         # Roots of the first components and the late links between them.
+        more = _verified(rest, docs, width, percent)
         late = (more.join(parts.select(F.col("node").alias("a"), F.col("component").alias("x")), "a", "left")
                 .join(parts.select(F.col("node").alias("b"), F.col("component").alias("y")), "b", "left")
                 .select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")))
-        top = connected_components(late).select(F.col("node").alias("root"), F.col("component").alias("top"))
-        alone = late.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(parts, "node", "left_anti")
-        parts = cut_lineage(parts.union(alone.select("node", "node"))
-                            .join(top, F.col("component") == F.col("root"), "left")
-                            .select("node", F.coalesce("top", "component").alias("component")))
+        top = cut_lineage(connected_components(late)).select(F.col("node").alias("root"), F.col("component").alias("top"))
+        # A late root is one of an earlier component or was alone.
+        alone = top.select(F.col("root").alias("node")).join(parts, "node", "left_anti")
+        parts = (parts.union(alone.select("node", "node")).join(top, F.col("component") == F.col("root"), "left")
+                 .select("node", F.coalesce("top", "component").alias("component")))
     return (member.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
             .union(nameless))
 
 
-def _pairs_across(stars: DataFrame, tried: DataFrame, parts: DataFrame) -> DataFrame:
-    """Pairs that share a signature, lie in different components and were not tried."""
+def _pairs_across(stars: DataFrame, parts: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs that share a signature, lie in different components and are possible by their sketches."""
     a = parts.select(F.col("node").alias("a"), F.col("component").alias("x"))
     b = parts.select(F.col("node").alias("b"), F.col("component").alias("y"))
     known = cut_lineage(stars.join(a, "a", "left").join(b, "b", "left")
                         .select("sig", "a", "b", F.coalesce("x", "a").alias("x"), F.coalesce("y", "b").alias("y")))
-    # Buckets in which every star is inside one component are settled.
-    open_sigs = known.where("x != y").select("sig").distinct()
-    known = known.join(open_sigs, "sig", "left_semi")
     inside = cut_lineage(known.select("sig", F.col("a").alias("id"), F.col("x").alias("part"))
                          .union(known.select("sig", "b", "y")).distinct())
-    left = inside.select("sig", F.col("id").alias("a"), F.col("part").alias("x"))
-    right = inside.select("sig", F.col("id").alias("b"), F.col("part").alias("y"))
-    pairs = left.join(right, "sig").where("a < b and x != y").select("a", "b").distinct()
-    return pairs.join(tried, ["a", "b"], "left_anti")
+    # A bucket whose members lie in one component is settled; of buckets with the
+    # same members one is kept.  A bucket of two was tried as a star.
+    alike = (inside.groupBy("sig").agg(
+        F.count("*").alias("m"), F.min("part").alias("low"), F.max("part").alias("high"),
+        F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("u"), F.sum(F.hash("id")).alias("v"))
+        .where("low != high and m > 2").groupBy("m", "u", "v").agg(F.min("sig").alias("sig")))
+    # Short numbers for the buckets, so that lists of them stay small.
+    alike = cut_lineage(alike.select("sig", F.ceil(F.col("m") / TILE).alias("chunks"),
+                                     F.monotonically_increasing_id().alias("number")))
+    inside = cut_lineage(inside.join(alike, "sig").select(F.col("number").alias("sig"), "id", "part", "chunks",
+                                                          F.pmod(F.xxhash64("id"), "chunks").alias("chunk")))
+    ids = cut_lineage(inside.select(F.col("id").alias("doc_id")).distinct())
+    slots = (join_summary(docs, ids, "doc_id", "left_semi")
+             .mapInArrow(_map_sets(width, True), "id long, n long, value binary"))
+    places = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1),
+                         lambda k: F.struct(F.least("chunk", k).alias("i"), F.greatest("chunk", k).alias("j")))
+    # As many as a set has signatures at most.
+    own = inside.groupBy("id").agg(F.sort_array(F.collect_list("sig")).alias("sigs"))
+    earlier = F.filter("sigs", lambda s: s < F.col("sig")).alias("sigs")
+    return (inside.join(own, "id").select("sig", "id", "part", "chunk", earlier, F.explode(places).alias("t"))
+            .join(slots, "id").select("sig", "t.i", "t.j", "id", "part", "chunk", "sigs", "n", "value")
+            .groupBy("sig", "i", "j").applyInArrow(_tile_left(percent), "a long, b long").distinct())
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
