@@ -1,0 +1,248 @@
+"""Operators of frameml.llm against brute force, round trips and held-out accuracy."""
+
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from frameml.llm.decontamination import drop_contaminated, find_contamination, normalise
+from frameml.llm.embedding_neardup import near_duplicate_vectors
+from frameml.llm.html_text import extract_text
+from frameml.llm.jaccard_join import jaccard_components
+from frameml.llm.language import identify_language, learn_languages
+from frameml.llm.licenses import scan_licenses
+from frameml.llm.packing import best_fit_plan, pack_documents, vocabulary_path
+from frameml.llm.pii import pii_report, redact
+from frameml.llm.quality import fit_quality, score_quality
+
+DOCS = "doc_id long, text string"
+
+
+def components(ids, linked):
+    root = {i: i for i in ids}
+    for a, b in linked * len(ids):
+        low = min(root[a], root[b])
+        if root[a] == root[b] == low:
+            continue
+        root[a] = root[b] = low
+    return root
+
+
+def test_jaccard_join(spark):
+    rng = np.random.default_rng(1)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows = []
+    for g in range(12):
+        base = list(rng.choice(vocabulary, int(rng.integers(4, 220))))
+        for _ in range(12):
+            text = list(base)
+            for _ in range(int(rng.integers(0, max(1, len(base) // 25) + 1))):
+                text[rng.integers(len(text))] = str(rng.choice(vocabulary))
+            rows.append((len(rows), " ".join(text)))
+    rows += [(500, ""), (501, None), (502, " \n "), (503, "one two"), (504, "ONE  two"), (505, "one"), (506, rows[0][1])]
+
+    def shingles(text):
+        w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c < "\x80" else c for c in text or ""))
+        return {tuple(w[i:i + 4]) for i in range(len(w) - 3)} if len(w) > 3 else ({tuple(w)} if w else set())
+
+    sets = {d: shingles(t) for d, t in rows}
+    ids = sorted(sets)
+    linked = [(a, b) for a in ids for b in ids if a < b and sets[a] and
+              100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]) > 0]
+    root = components(ids, linked)
+    df = spark.createDataFrame([(d, t, "x", 1) for d, t in rows], DOCS + ", rep string, id int")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(df).collect()}
+    assert got == {d: (len(sets[d]), root[d]) for d in ids}
+    assert len(linked) > 50
+
+
+def test_jaccard_edges(spark):
+    assert jaccard_components(spark.createDataFrame([], DOCS)).count() == 0
+    rows = [(None, "a b c d e"), (1, "a b c d e"), (1, "a b c d e"), (2, "a b c d e")]
+    got = sorted((r[0] or -1, r[1], r[2] or -1) for r in jaccard_components(spark.createDataFrame(rows, DOCS)).collect())
+    assert got == [(-1, 2, -1), (1, 2, 1), (1, 2, 1), (2, 2, 1)]
+
+
+@pytest.mark.parametrize("tile", [1024, 7])
+def test_embeddings(spark, tile):
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(260):
+        v = rng.standard_normal(16) if i % 4 == 0 else np.array(rows[i - i % 4][1]) + rng.standard_normal(16) * 0.05 * (i % 4)
+        rows.append((i, [float(x) for x in v.astype(np.float32)], i % 4 // 3 if i % 7 else None))
+    rows += [(300, None, 0), (301, [0.0] * 16, 0), (302, [float("nan")] * 16, 0), (303, [1.0, None], 0), (304, [], 0),
+             (305, rows[0][1], rows[1][2]), (306, rows[1][1], rows[1][2]), (307, [1.0, 2.0], 0)]
+    good = {i: (np.array(v), lab) for i, v, lab in rows if v and lab is not None and None not in v and np.isfinite(v).all() and any(v)}
+    cos = lambda a, b: a @ b / np.sqrt((a @ a) * (b @ b))
+    linked = [(a, b) for a in good for b in good if a < b and good[a][1] == good[b][1] and len(good[a][0]) == len(good[b][0])
+              and cos(good[a][0], good[b][0]) >= 0.98]
+    ids = [r[0] for r in rows]
+    root, n = components(ids, linked), {i: sum(i in p for p in linked) for i in ids}
+    df = spark.createDataFrame([(*r, 5) for r in rows], "vec_id long, embedding array<float>, label int, weight int")
+    got = {r["vec_id"]: tuple(r)[1:] for r in near_duplicate_vectors(df, tile=tile).collect()}
+    assert got == {i: (n[i], root[i], root[i] == i) for i in ids}
+    assert len(linked) > 50
+    assert near_duplicate_vectors(df.limit(0)).count() == 0
+
+
+def test_pii(spark):
+    text = ("é mail a.b@c.org, x@y z@q.w_k@e.f ip 10.0.0.255 10.0.0.256 1.2.3.4.5 card 4111 1111 1111 1111, 4111-1111-1111-1112 "
+            "tel +1 (212) 555-0100, +12 iban DE89 3704 0044 0532 0130 00 DE88370400440532013000")
+    rows = [(1, text), (2, None), (3, ""), (4, "a@" + "b." * 5000), (5, "x" * 20000)]
+    got = {r["doc_id"]: r for r in pii_report(spark.createDataFrame(rows, DOCS)).collect()}
+    spans = [s.split(":") for s in got[1]["spans"].split(",")]
+    assert [(k, text[int(a):int(b)]) for k, a, b in spans] == [
+        ("email", "a.b@c.org"), ("email", "z@q.w"), ("email", "_k@e.f"), ("ip", "10.0.0.255"), ("ip", "1.2.3.4"),
+        ("card", "4111 1111 1111 1111"), ("phone", "+1 (212) 555-0100"), ("iban", "DE89 3704 0044 0532 0130 00")]
+    assert got[2]["spans"] == got[3]["spans"] == got[5]["spans"] == "" and got[4]["n_email"] == 1
+    clean = {r["doc_id"]: r["text"] for r in redact(spark.createDataFrame(rows[:3], DOCS)).collect()}
+    assert "[EMAIL]" in clean[1] and "4111 1111 1111 1111" not in clean[1] and clean[2] is None and clean[3] == ""
+
+
+def test_best_fit_is_that_of_one_by_one_placing():
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        lengths = rng.integers(1, 33, rng.integers(1, 300)).tolist()
+        rooms = []
+        for n in sorted(lengths, reverse=True):
+            fits = [i for i, r in enumerate(rooms) if r >= n]
+            if fits:
+                rooms[min(fits, key=lambda i: rooms[i])] -= n
+            else:
+                rooms.append(32 - n)
+        lines = best_fit_plan({n: lengths.count(n) for n in set(lengths)}, 32)
+        totals = {}
+        for n in set(lengths):
+            own = lines[lines[:, 0] == n]
+            for k in range(lengths.count(n)):
+                _, first, each, bin_, offset = own[np.searchsorted(own[:, 1], k, "right") - 1]
+                place = totals.setdefault(bin_ + (k - first) // each, [])
+                place.append((offset + (k - first) % each * n, n))
+        assert sorted(32 - sum(n for _, n in t) for t in totals.values()) == sorted(rooms)
+        for t in totals.values():
+            t.sort()
+            assert all(a + n == b for (a, n), (b, _) in zip(t, t[1:])) and t[0][0] == 0
+
+
+def test_packing_ids_and_places(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    rows = [(i, t) for i, t in enumerate(["", None, "one  two\n\n three ", "it's <|endoftext|> çé 漢字 🙂", "word " * 5000, "x" * 3000, "a b\t"])]
+    rows += [(None, "no id"), (3, rows[3][1])]
+    got = pack_documents(spark.createDataFrame([(*r, 1) for r in rows], DOCS + ", pid int"), vocabulary_path(), with_ids=True).collect()
+    for doc, text in rows:
+        want = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        mine = sorted((r for r in got if r["doc_id"] == doc), key=lambda r: (r["piece"], r["sequence_id"], r["offset"]))
+        if doc != 3:
+            assert [i for r in mine for i in r["ids"]] == want
+        for r in mine:
+            assert r["ids"] == want[r["start"]:r["start"] + r["length"]]
+            assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
+    bins = {}
+    for r in got:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for b in map(sorted, bins.values()):
+        assert b[0][0] == 0 and all(a + n == c for (a, n), (c, _) in zip(b, b[1:])) and sum(n for _, n in b) <= 2048
+    assert pack_documents(spark.createDataFrame([], DOCS), vocabulary_path()).count() == 0
+
+
+def test_decontamination(spark):
+    def distance(item, text):
+        row = [0] * (len(text) + 1)
+        for i, c in enumerate(item, 1):
+            new = [i]
+            for j, d in enumerate(text, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+            row = new
+        return min(row)
+
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcde"), rng.integers(1, 7))) for _ in range(50)]
+    make = lambda n: " ".join(rng.choice(words, n))
+    items = [(i, make(20)) for i in range(6)] + [(8, ""), (9, None), (10, "!!")]
+    rows = []
+    for i in range(40):
+        text = list(items[i % 6][1].upper() if i % 2 else items[i % 6][1])
+        for _ in range(i // 6):
+            text[rng.integers(len(text))] = str(rng.choice(list("xyz")))
+        rows.append((i, make(15) + " -- " + "".join(text) + "!\n" + make(9)))
+    rows += [(90, None), (91, ""), (92, make(60)), (None, items[0][1])]
+    docs = spark.createDataFrame([(*r, 7) for r in rows], DOCS + ", item_id int")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["distance"] for r in find_contamination(docs, bench).collect()}
+    want = {}
+    for doc, text in rows:
+        for item_id, item in items[:6]:
+            d = distance(normalise(item), normalise(text))
+            if d <= int(0.05 * len(normalise(item))):
+                want[doc, item_id] = d
+    assert got == want and max(want.values()) > 1
+    dirty = {d for d, _ in want}
+    kept = drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {d for d, _ in rows} - dirty
+    assert find_contamination(docs, bench.limit(0)).count() == 0 and drop_contaminated(docs.limit(0), bench).count() == 0
+
+
+def test_quality_held_out(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    scored = score_quality(docs, fit_quality(docs, labels)).join(labels, "doc_id").where(F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
+    right, n = scored.agg(F.avg(((F.col("score") >= 0.3) == (F.col("quality") == 1)).cast("double")), F.count("*")).first()
+    assert n > 40 and right > 0.97
+    odd = spark.createDataFrame([(1, None), (2, ""), (None, "x " * 50000)], DOCS)
+    assert all(0 <= r["score"] <= 1 for r in score_quality(odd, fit_quality(docs, labels)).collect())
+    assert [r["score"] for r in score_quality(odd, fit_quality(docs, labels.limit(0))).collect()] == [0.5] * 3
+
+
+def test_language_held_out(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    test = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = learn_languages(docs.where(~test))
+    got = identify_language(docs.where(test), model)
+    assert got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0] > 0.98
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "123 !"), (4, "the and of")], DOCS)
+    names = [r["lang_pred"] for r in identify_language(odd, model).orderBy("doc_id").collect()]
+    assert names[:3] == ["und"] * 3 and names[3] == "en"
+    assert {r["lang_pred"] for r in identify_language(odd, learn_languages(docs.limit(0))).collect()} == {"und"}
+
+
+def test_html(spark):
+    page = ("<html><head><title>T</title></head><body><nav><a href='/'>Home</a></nav><div class='cookie-notice'>We use cookies</div>"
+            "<div class='main post-12'><h1>Head&amp;line</h1><p>First <b>bold</b>\n text<br>here<p>Second &eacute;<script>var a='<p>';</script>"
+            "</div><div id='comments'><p>nice post</p></div><form><p>mail</p></form><footer>&copy; me</footer></body></html>")
+    rows = [(1, "http://a.b/x", page), (2, "http://a.b/y", None), (3, None, ""), (4, "http://a.b/z", page.replace("post-12", "post-9")),
+            (5, "http://c.d", "<p>only <i>this"), (6, "http://c.d", "a < b <p class=\"x>y"), (7, "u", "<div>" * 3000 + "deep")]
+    got = {r["page_id"]: r for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want = "Head&line\n\nFirst bold text here\n\nSecond é"
+    assert got[1]["text"] == got[4]["text"] == want and got[1]["n_chars"] == len(want)
+    assert got[2]["text"] == got[3]["text"] == "" and got[5]["text"] == "only this" and got[7]["text"] == "deep"
+    assert len(got) == 7
+
+
+def test_licenses(spark):
+    rows = [(1, "é start. Released under the MIT license.\nLicensed under the Apache License, Version 2.0"), (2, None), (3, ""),
+            (4, "This work is licensed under the terms of GNU General Public License, version 3 ok"), (5, "license under")]
+    got = sorted((r["doc_id"], r["template"], rows[r["doc_id"] - 1][1][r["start"]:r["stop"]])
+                 for r in scan_licenses(spark.createDataFrame(rows, DOCS)).collect())
+    assert ("mit" in [t for d, t, _ in got if d == 1]) and (1, "mit", "Released under the MIT license") in got
+    assert (1, "apache-2.0", "Licensed under the Apache License, Version 2.0") in got
+    assert [t for d, t, _ in got if d == 4] == ["gpl-3.0"] and {d for d, *_ in got} == {1, 4}
+
+
+def test_pipeline(spark):
+    import corpus_pipeline as pipeline
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in pipeline.STAGES[:-1]:
+        before, docs = docs, stage(spark, docs, folder).cache()
+        assert docs.columns == before.columns, name
+        assert docs.count() <= before.count()
+    assert docs.join(find_contamination(docs, spark.read.parquet(f"{folder}/benchmark.parquet")), "doc_id").count() == 0
+    packed = pipeline.packing(spark, docs, folder)
+    assert packed.select("doc_id").distinct().count() == docs.count()
