@@ -19,9 +19,10 @@ def sigmoid(x: Column) -> Column:
 
 
 def activation(x: Column, kind: str, exponent: float = 2.0) -> Column:
-    """relu, tanh, sigmoid, exp, log (of x + 1e-8), pow (x ** exponent), neg."""
+    """relu, tanh, sigmoid, exp, log (of x + 1e-8), pow (x ** exponent), neg.
+    A null gives null and NaN stays NaN."""
     if kind == "relu":
-        return F.greatest(x, F.lit(0.0))
+        return F.when(x.isNotNull(), F.greatest(x, F.lit(0.0)))
     if kind == "tanh":
         return F.tanh(x)
     if kind == "sigmoid":
@@ -41,7 +42,7 @@ def activation_grad(x: Column, kind: str, upstream: Column | float = 1.0, expone
     """Derivative of ``activation`` at the input ``x``, times ``upstream``."""
     up = upstream if isinstance(upstream, Column) else F.lit(float(upstream))
     if kind == "relu":
-        return F.when(x > 0, up).otherwise(F.lit(0.0))
+        return F.when(x > 0, up).when(x.isNotNull(), F.lit(0.0))
     if kind == "tanh":
         t = F.tanh(x)
         return (F.lit(1.0) - t * t) * up

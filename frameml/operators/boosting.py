@@ -8,8 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from frameml.operators.trees import (MIN_VARIANCE_GAIN, NODE_SCHEMA, TreeModel, _Open, grow, label_stats, node_rows,
-                                     training_table, tree_column)
+from frameml.operators.trees import (MIN_VARIANCE_GAIN, NODE_SCHEMA, TreeModel, _Open, grow, label_stats, leaf_values,
+                                     node_rows, training_table)
 from frameml.plans.features import balanced_sum, resolve
 from frameml.plans.lineage import cut_lineage
 from frameml.plans.reduce import persisted
@@ -79,27 +79,31 @@ def gbt_fit(df: DataFrame, xs, y, n_estimators: int = 100, lr: float = 0.1, max_
                 square += o.q - 2 * step * float(o.s[0]) + step * step * o.n
             if t % 10 == 0:
                 history.append((t, square / n))
-            data = data.withColumn("t", F.col("t") - F.lit(float(lr)) * tree_column(data, tree, feats))
+            data = data.withColumn("t", F.col("t") - F.lit(float(lr)) * leaf_values(data, tree, feats))
             if (t + 1) % TREES_PER_CHECKPOINT == 0 and t + 1 < n_estimators:
                 data = cut_lineage(data)
                 cached.unpersist()
     return BoostingModel(base, float(lr), tuple(trees), tuple(history))
 
 
+def _trained_width(model: BoostingModel) -> int | None:
+    return model.trees[0].d if model.trees else None
+
+
 def gbt_column(df: DataFrame, model: BoostingModel, xs) -> Column:
-    feats = resolve(df, xs)
-    return F.lit(model.base) + F.lit(model.lr) * balanced_sum([tree_column(df, t, feats) for t in model.trees])
+    feats = resolve(df, xs, _trained_width(model))
+    return feats.guarded(F.lit(model.base) + F.lit(model.lr) * balanced_sum([leaf_values(df, t, feats) for t in model.trees]))
 
 
 def gbt_predict(df: DataFrame, model: BoostingModel, xs, output: str = "prediction") -> DataFrame:
     """Add base + lr * sum of trees, at most twenty trees per projection."""
-    feats = resolve(df, xs)
+    feats = resolve(df, xs, _trained_width(model))
     names = []
     out = df
     for at in range(0, len(model.trees), TREES_PER_PROJECTION):
         chunk = model.trees[at:at + TREES_PER_PROJECTION]
         name = f"__trees{at}"
-        out = out.withColumn(name, balanced_sum([tree_column(out, t, feats) for t in chunk]))
+        out = out.withColumn(name, feats.guarded(balanced_sum([leaf_values(out, t, feats) for t in chunk])))
         names.append(name)
     total = F.lit(model.base) + F.lit(model.lr) * balanced_sum([F.col(c) for c in names])
-    return out.withColumn(output, total).drop(*names)
+    return out.withColumn(output, total if names else feats.guarded(total)).drop(*names)

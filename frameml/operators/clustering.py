@@ -46,21 +46,21 @@ def _nearest(z: np.ndarray, centres: np.ndarray) -> np.ndarray:
 def nearest_distance(df: DataFrame, xs, centres) -> Column:
     """Squared distance to the closest centre."""
     c = np.asarray(centres, dtype=float)
-    feats = resolve(df, xs)
+    feats = resolve(df, xs, c.shape[1])
     if c.size <= MAX_LITERAL_TERMS:
         gaps = _distances(feats.columns(), c)
-        return gaps[0] if len(gaps) == 1 else F.least(*gaps)
+        return feats.guarded(gaps[0] if len(gaps) == 1 else F.least(*gaps))
     return batch_map(feats, lambda z, s: _nearest(z, s).min(axis=1), c, "double")
 
 
 def assignment(df: DataFrame, xs, centres) -> Column:
     """Position of the closest centre; ties go to the lowest."""
     c = np.asarray(centres, dtype=float)
-    feats = resolve(df, xs)
+    feats = resolve(df, xs, c.shape[1])
     if feats.d != c.shape[1]:
         raise ValueError(f"{feats.d} features but centres of width {c.shape[1]}")
     if c.size <= MAX_LITERAL_TERMS:
-        return argmin(_distances(feats.columns(), c))
+        return feats.guarded(argmin(_distances(feats.columns(), c)))
     return batch_map(feats, lambda z, s: _nearest(z, s).argmin(axis=1).astype(np.int32), c, "int")
 
 

@@ -89,6 +89,6 @@ def logistic_predict_proba(df: DataFrame, model: LogisticModel, xs, output: str
 
 def logistic_predict(df: DataFrame, model: LogisticModel, xs, threshold: float = 0.5,
                      output: str = "prediction") -> DataFrame:
-    """Add 1.0 where the probability reaches ``threshold``, else 0.0."""
+    """Add 1.0 where the probability reaches ``threshold``, else 0.0; null without a probability."""
     p = sigmoid(linear_score(df, xs, model.theta))
-    return df.withColumn(output, F.when(p >= F.lit(float(threshold)), F.lit(1.0)).otherwise(F.lit(0.0)))
+    return df.withColumn(output, F.when(p >= F.lit(float(threshold)), F.lit(1.0)).when(p.isNotNull(), F.lit(0.0)))

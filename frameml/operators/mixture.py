@@ -68,10 +68,19 @@ def _log_density(x: list[Column], mean, cov) -> Column:
 
 def gaussian_pdf(df: DataFrame, xs, mean, cov) -> Column:
     """Density of each row; the determinant is floored at 1e-9."""
-    feats = resolve(df, xs)
+    feats = resolve(df, xs, len(mean))
     if len(mean) != feats.d or np.shape(cov) != (feats.d, feats.d):
         raise ValueError(f"{feats.d} features, mean of {len(mean)}, covariance {np.shape(cov)}")
-    return F.exp(_log_density(feats.columns(), mean, cov))
+    if feats.d ** 2 > MAX_LITERAL_TERMS:
+        inverse, constant = _log_constants(np.asarray(cov, dtype=float))
+        return batch_map(feats, _density_batch, (np.asarray(mean, dtype=float), inverse, constant), "double")
+    return feats.guarded(F.exp(_log_density(feats.columns(), mean, cov)))
+
+
+def _density_batch(z: np.ndarray, state) -> np.ndarray:
+    mean, inverse, constant = state
+    gap = z - mean
+    return np.exp(constant - 0.5 * ((gap @ inverse) * gap).sum(axis=1))
 
 
 def _terms(k: int, d: int) -> int:
@@ -185,12 +194,12 @@ def gmm_fit(df: DataFrame, xs, k: int = 3, max_iters: int = 100, init=None, id:
 
 def mixture_shares(df: DataFrame, model: MixtureModel, xs) -> Column:
     """Array of component probabilities, normalised in log space."""
-    feats = resolve(df, xs)
+    feats = resolve(df, xs, len(model.means[0]))
     if feats.d != len(model.means[0]):
         raise ValueError(f"{feats.d} features but means of width {len(model.means[0])}")
     if _terms(model.k, feats.d) > MAX_LITERAL_TERMS // 2:
         return batch_map(feats, lambda z, s: _shares(z, s)[0], model)
-    return softmax(F.array(*_log_joint(feats.columns(), model)))
+    return feats.guarded(softmax(F.array(*_log_joint(feats.columns(), model))))
 
 
 def gmm_predict_proba(df: DataFrame, model: MixtureModel, xs, output: str = "probability") -> DataFrame:
@@ -199,9 +208,9 @@ def gmm_predict_proba(df: DataFrame, model: MixtureModel, xs, output: str = "pro
 
 def gmm_predict(df: DataFrame, model: MixtureModel, xs, output: str = "component") -> DataFrame:
     """Add the most probable component; ties go to the lowest."""
-    feats = resolve(df, xs)
+    feats = resolve(df, xs, len(model.means[0]))
     if _terms(model.k, feats.d) > MAX_LITERAL_TERMS // 2:
         pick = batch_map(feats, lambda z, s: _shares(z, s)[0].argmax(axis=1).astype(np.int32), model, "int")
     else:
-        pick = argmax(_log_joint(feats.columns(), model))
+        pick = feats.guarded(argmax(_log_joint(feats.columns(), model)))
     return df.withColumn(output, pick)

@@ -279,15 +279,15 @@ def network_output(df: DataFrame, network: Network, xs) -> Column:
     """Forward pass as an array column; dropout is off.  One linear layer with
     few weights stays in generated code (a second one would repeat the first
     layer's expressions per output), anything else goes through Arrow."""
-    feats = resolve(df, xs)
     linear = network.linear
+    feats = resolve(df, xs, linear[0].w.shape[0])
     if linear[0].w.shape[0] != feats.d:
         raise ValueError(f"{feats.d} features for a network of {linear[0].w.shape[0]} inputs")
     terms = 1
     for layer in linear:
         terms *= layer.w.size
     if terms <= MAX_LITERAL_TERMS:
-        return F.array(*_forward_columns(feats.columns(), network))
+        return feats.guarded(F.array(*_forward_columns(feats.columns(), network)))
     return batch_map(feats, lambda z, layers: _forward(z, layers)[0], network.layers)
 
 

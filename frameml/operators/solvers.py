@@ -7,11 +7,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frameml.functions.vectors import dot
+from frameml.functions.vectors import dot, total
 from frameml.operators.regression import PIVOT_TOLERANCE, cholesky
+from frameml.operators.scoring import affine
 from frameml.plans.features import balanced_sum, resolve
 from frameml.plans.lineage import cut_lineage, join_summary
 from frameml.plans.moments import SUMS, centred_moments, column_shift, grouped_moments, packed_pairs
+from frameml.plans.reduce import MAX_LITERAL_TERMS
 
 
 def _unstack(packed: pd.Series, p: int) -> np.ndarray:
@@ -81,6 +83,9 @@ def whiten(df: DataFrame, xs, output: str = "w", handle_invalid: str = "error")
     inverse = np.linalg.inv(cholesky(m.covariance()))
     centred = [c - F.lit(float(mu)) for c, mu in zip(feats.columns(), m.mean)]
     rows = df if handle_invalid == "error" else df.filter(feats.valid())
+    if m.d ** 2 > MAX_LITERAL_TERMS:
+        made = rows.withColumn("__w", affine(rows, feats, inverse.T, centre=m.mean))
+        return made.withColumns({f"{output}{k}": F.col("__w")[k] for k in range(m.d)}).drop("__w")
     return rows.withColumns({f"{output}{k}": dot(centred[:k + 1], inverse[k, :k + 1]) for k in range(m.d)})
 
 
@@ -106,6 +111,12 @@ def mahalanobis(df: DataFrame, xs, by, output: str = "distance_sq", handle_inval
     rows = df if handle_invalid == "error" else df.filter(feats.valid())
     gaps = [c - F.col("__mu")[j] for j, c in enumerate(feats.columns())]
     joined = join_summary(rows, summary, keys, "left")
+    if d * d > MAX_LITERAL_TERMS:
+        # One term per row of the inverse: the plan does not grow with d.
+        gap, inv = F.col("__gap"), F.col("__inv")
+        part = F.transform(gap, lambda g, a: g * total(F.zip_with(gap, F.slice(inv, a * d + 1, d), lambda h, v: h * v)))
+        wide = joined.withColumn("__gap", F.zip_with(feats.array(), "__mu", lambda x, m: x - m))
+        return wide.withColumn(output, total(part)).drop("__mu", "__inv", "__gap")
     terms = [gaps[a] * gaps[b] * F.col("__inv")[a * d + b] for a in range(d) for b in range(d)]
     return joined.withColumn(output, balanced_sum(terms)).drop("__mu", "__inv")
 

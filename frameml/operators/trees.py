@@ -260,9 +260,14 @@ def best_split_gini(df: DataFrame, xs, y, by=None, handle_invalid: str = "error"
 
 
 def tree_column(df: DataFrame, model: TreeModel, xs) -> Column:
-    feats = resolve(df, xs)
+    feats = resolve(df, xs, model.d)
     if feats.d != model.d:
         raise ValueError(f"{feats.d} features for a tree grown on {model.d}")
+    return feats.guarded(leaf_values(df, model, feats))
+
+
+def leaf_values(df: DataFrame, model: TreeModel, feats: Features) -> Column:
+    """Value at each row's leaf; the caller guards it against invalid rows."""
     return _leaf_column(df, model.nodes, feats, [float(n.value) for n in model.nodes], "double")
 
 

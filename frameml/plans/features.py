@@ -42,6 +42,10 @@ class Features:
             return [F.col(self.source)[j].cast("double") for j in range(self.d)]
         return [c.cast("double") for c in self.scalars]
 
+    def guarded(self, value: Column) -> Column:
+        """``value`` where the features are valid, else null."""
+        return F.when(self.valid(), value)
+
     def array(self) -> Column:
         if self.source is not None:
             return F.col(self.source).cast("array<double>")
@@ -58,9 +62,23 @@ class Features:
         return ok
 
 
-def resolve(df: DataFrame, xs) -> Features:
+def _width(df: DataFrame, name: str) -> int:
+    """The one width of an array column, from all its rows; null arrays have none."""
+    if df.isStreaming:
+        raise ValueError(f"the width of {name!r} must be given on a stream")
+    size = F.when(F.col(name).isNotNull(), F.size(name))
+    low, high = df.agg(F.min(size), F.max(size)).first()
+    if low is None:
+        raise ValueError("empty input")
+    if low != high:
+        raise ValueError(f"arrays of {low} to {high} elements in {name!r}; give ({name!r}, width)")
+    return int(low)
+
+
+def resolve(df: DataFrame, xs, width: int | None = None) -> Features:
     """``xs`` is a list of names/Columns, the name of an array column, or
-    ``(array column, width)`` when the width is known."""
+    ``(array column, width)``.  A model's ``width`` goes for an array column
+    by name; without it all rows are looked at."""
     if isinstance(xs, Features):
         return xs
     if isinstance(xs, tuple) and len(xs) == 2 and isinstance(xs[0], str) and isinstance(xs[1], int):
@@ -69,10 +87,7 @@ def resolve(df: DataFrame, xs) -> Features:
         if xs not in df.columns:
             raise ValueError(f"no column {xs!r}")
         if isinstance(df.schema[xs].dataType, T.ArrayType):
-            first = df.select(F.size(xs)).first()
-            if first is None:
-                raise ValueError("empty input")
-            return Features(int(first[0]), xs, ())
+            return Features(_width(df, xs) if width is None else width, xs, ())
         xs = [xs]
     if not xs:
         raise ValueError("no feature columns")
