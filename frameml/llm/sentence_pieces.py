@@ -27,7 +27,7 @@ from frameml.llm.hashing import BASE, BASE_INVERSE, mix, powers, slices, string_
 from frameml.sources.tables import read_table
 
 # Bytes of text that one window holds, and symbols of the longest word merged in rounds.
-WINDOW, LONG = 2_000_000, 256
+WINDOW, LONG = 500_000, 256
 SPACE_MARK = "▁"
 UNKNOWN_SURFACE = " ⁇ "
 NONE = np.int32(2**31 - 1)
@@ -361,17 +361,19 @@ def _characters(data: bytes) -> str:
     return "".join(out)
 
 
-def _encode_batches(model: PieceModel, ending: bool, window: int):
+def _encode_batches(model: PieceModel, ending: bool, window: int, decoded: bool):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         encoder, tail = Encoder(model, window), np.full(int(ending), model.end, np.int32)
+        decoder = Decoder(model) if decoded else None
 
         def out(batch, rows, ids):
             ends = np.concatenate(([0], np.cumsum([len(x) for x in ids])))
             lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(ids).astype(np.int32)))
             kept = batch.slice(rows[0], len(rows))
-            return pa.RecordBatch.from_arrays([kept.column(0), lists], names=["id", "ids"])
+            texts = [pa.array([decoder.text(x) for x in ids], pa.string())] if decoder else []
+            return pa.RecordBatch.from_arrays([kept.column(0), lists, *texts], names=["id", "ids", "decoded"][:2 + len(texts)])
 
         for batch in batches:
             rows, ids, held = [], [], 0
@@ -379,7 +381,7 @@ def _encode_batches(model: PieceModel, ending: bool, window: int):
                 rows.append(row)
                 ids.append(np.concatenate((found, tail)))
                 held += len(ids[-1])
-                if held > window:
+                if held > window // 4:
                     yield out(batch, rows, ids)
                     rows, ids, held = [], [], 0
             if rows:
@@ -404,8 +406,9 @@ def _decode_batches(model: PieceModel):
 
 
 def encode_pieces(docs: DataFrame, model: PieceModel, ending: bool = True, id_col: str = "doc_id", text_col: str = "text",
-                  window: int = WINDOW) -> DataFrame:
-    """One row per document: (doc_id, ids array<int>), the ids of its whole text.
+                  window: int = WINDOW, decoded: bool = False) -> DataFrame:
+    """One row per document: (doc_id, ids array<int>), the ids of its whole text; with ``decoded``
+    also the text that the ids give back, made in the same task.
 
     A null text is empty; an empty text has the end id alone (nothing without
     ``ending``).  Repeated rows and rows without id are encoded like others,
@@ -415,7 +418,8 @@ def encode_pieces(docs: DataFrame, model: PieceModel, ending: bool = True, id_co
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_encode_batches(model, ending, window), f"id {kind}, ids array<int>").withColumnRenamed("id", "doc_id")
+    schema = f"id {kind}, ids array<int>" + ", decoded string" * decoded
+    return rows.mapInArrow(_encode_batches(model, ending, window, decoded), schema).withColumnRenamed("id", "doc_id")
 
 
 def decode_pieces(encoded: DataFrame, model: PieceModel, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -435,7 +439,7 @@ def decode_pieces(encoded: DataFrame, model: PieceModel, ids_col: str = "ids", o
 
 def piece_report(docs: DataFrame, model: PieceModel) -> DataFrame:
     """Digests of the ids of every document and of the text that they give back."""
-    back = decode_pieces(encode_pieces(docs, model), model)
+    back = encode_pieces(docs, model, decoded=True)
     listed = F.array_join(F.col("ids").cast("array<string>"), " ")
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
