@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from frameml.operators.scoring import batch_map
 from frameml.plans.features import Features, bad_count, prepare, raise_on_bad, resolve
-from frameml.plans.lineage import BROADCAST_ROWS, collect_small, cut_lineage
+from frameml.plans import splits
+from frameml.plans.lineage import BROADCAST_ROWS, cut_lineage
 from frameml.plans.reduce import persisted
-from frameml.plans.splits import (NUMERIC, KnownTotals, TableTotals, Targets, best_splits, choose_bins,
-                                  class_targets, node_totals, with_bins)
+from frameml.plans.splits import (NUMERIC, KnownTotals, TableTotals, Targets, best_splits, best_splits_by_class,
+                                  choose_bins, class_node_totals, class_targets, class_totals, node_totals,
+                                  with_bins)
 
 # Smallest useful variance gain, impurity that counts as pure.
 MIN_VARIANCE_GAIN = 1e-5
@@ -23,10 +25,6 @@ PURE_GINI = 1e-6
 # nodes in Arrow batches.
 MAX_CASE_LEAVES = 255
 
-# A class label with more distinct values is taken for a mistake: each class
-# is one column of the split search.
-MAX_CLASSES = 10_000
-
 NODE_SCHEMA = ("tree int, node int, is_leaf boolean, value double, feature int, threshold double, "
                "left int, right int")
 
@@ -202,10 +200,13 @@ def tree_regressor_fit(df: DataFrame, xs, y, max_depth: int = 5, min_samples_spl
     return model
 
 
-def class_counts(rows: DataFrame) -> tuple[list[float], np.ndarray]:
-    """Class values in ascending order and their row counts."""
-    got = collect_small(rows.groupBy("y").count(), MAX_CLASSES)
-    pairs = sorted(zip(got["y"].to_pylist(), got["count"].to_pylist()))
+def class_counts(rows: DataFrame) -> tuple[list[float], np.ndarray] | None:
+    """Class values in ascending order and their row counts; None when there are
+    more than the split search holds as columns."""
+    got = rows.groupBy("y").count().limit(splits.FEW_CLASSES + 1).collect()
+    if len(got) > splits.FEW_CLASSES:
+        return None
+    pairs = sorted((r["y"], r["count"]) for r in got)
     return [y for y, _ in pairs], np.array([n for _, n in pairs], dtype=float)
 
 
@@ -213,10 +214,15 @@ def tree_classifier_fit(df: DataFrame, xs, y, max_depth: int = 5, min_samples_sp
                         handle_invalid: str = "error") -> TreeModel:
     """Gini splits; a leaf holds its majority class (the smallest on a tie).
     A node is a leaf at ``max_depth``, under ``min_samples_split`` rows or when
-    its Gini impurity is below 1e-6; a split without any gain is accepted."""
+    its Gini impurity is below 1e-6; a split without any gain is accepted.  Any
+    number of classes: few are counted in columns, many in lines of their own."""
     rows, feats = training_table(df, xs, y, handle_invalid)
     n, _ = label_stats(rows)
-    classes, counts = class_counts(rows)
+    few = class_counts(rows)
+    if few is None:
+        with persisted(rows.select("x", F.col("y").alias("t"))) as ready:
+            return grow_by_class(ready, feats, max_depth, min_samples_split)
+    classes, counts = few
     binning = choose_bins(rows, n, feats.d)
     data = with_bins(rows.select("x", F.col("y").alias("t")), binning)
     with persisted(data) as ready:
@@ -228,6 +234,37 @@ def tree_classifier_fit(df: DataFrame, xs, y, max_depth: int = 5, min_samples_sp
     return model
 
 
+def grow_by_class(data: DataFrame, feats: Features, max_depth: int, min_samples_split: int) -> TreeModel:
+    """Level-wise growth over ``data`` (x, t) when a node's class counts are too many to hold here.
+
+    The driver sees one line per open node: its rows, largest class and squared counts;
+    the counts stay in a table that the search joins."""
+    nodes, level, depth = [Node(0, 0.0)], [0], 0
+    while level:
+        tags = [None] * len(nodes)
+        for node in level:
+            tags[node] = node
+        tagged = data.withColumn("node", _leaf_column(data, nodes, feats, tags, "int")).filter(F.col("node") >= 0)
+        classes = cut_lineage(class_totals(tagged))
+        totals = cut_lineage(class_node_totals(classes))
+        open_nodes = []
+        for r in totals.collect():
+            nodes[r["node"]] = replace(nodes[r["node"]], value=float(r["major"]))
+            gini = 1.0 - r["all_tt"] / r["all_n"] ** 2
+            if depth < max_depth and r["all_n"] >= min_samples_split and gini >= PURE_GINI:
+                open_nodes.append(r["node"])
+        if not open_nodes:
+            break
+        found = best_splits_by_class(tagged.filter(F.col("node").isin(open_nodes)), classes, totals).collect()
+        level, depth = [], depth + 1
+        for r in sorted(found, key=lambda r: r["node"]):
+            left = len(nodes)
+            nodes[r["node"]] = replace(nodes[r["node"]], feature=r["feature"], threshold=r["threshold"], left=left, right=left + 1)
+            nodes += [Node(left, 0.0), Node(left + 1, 0.0)]
+            level += [left, left + 1]
+    return TreeModel(tuple(nodes), feats.d)
+
+
 def _split_table(df: DataFrame, xs, y, by, handle_invalid):
     keep = {} if by is None else {"node": by}
     rows, feats, _ = prepare(df, xs, {"y": y}, keep=keep, handle_invalid=handle_invalid, as_array=True)
@@ -252,11 +289,15 @@ def best_split_variance(df: DataFrame, xs, y, by=None, handle_invalid: str = "er
 
 
 def best_split_gini(df: DataFrame, xs, y, by=None, handle_invalid: str = "error") -> DataFrame:
-    """Best Gini split per group, gain 0 allowed."""
+    """Best Gini split per group, gain 0 allowed, any number of classes."""
     rows, feats = _split_table(df, xs, y, by, handle_invalid)
     n, _ = label_stats(rows)
-    classes, _ = class_counts(rows)
-    return _one_level(rows, n, feats, F.col("y"), class_targets(classes))
+    few = class_counts(rows)
+    if few is not None:
+        return _one_level(rows, n, feats, F.col("y"), class_targets(few[0]))
+    data = rows.select("node", "x", F.col("y").alias("t"))
+    classes = cut_lineage(class_totals(data))
+    return best_splits_by_class(data, classes, cut_lineage(class_node_totals(classes)))
 
 
 def tree_column(df: DataFrame, model: TreeModel, xs) -> Column:

@@ -16,6 +16,13 @@ the corners of the region the bin's row count, target sum, minimum and
 maximum allow.  Second, only rows of bins whose bound reaches the best gain so
 far are summed by distinct value and searched.  Bins decide cost, never the
 answer.
+
+Indicators are one column per class.  With more classes than ``FEW_CLASSES`` the
+Gini search works on lines (node, feature, value, class) instead, whose number and
+width do not depend on how many classes there are.  All it needs of the classes at a
+threshold are sum(l_c^2) and sum(T_c l_c), for left counts l_c and totals T_c.  A line
+of m rows adds (l_c + m)^2 - l_c^2 to the first and T_c m to the second, so both
+are running sums of running sums.
 """
 
 from __future__ import annotations
@@ -28,8 +35,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from frameml.plans.lineage import BROADCAST_ROWS, cut_lineage
+from frameml.plans.lineage import BROADCAST_ROWS, cut_lineage, join_summary
 from frameml.plans.reduce import MAX_LITERAL_TERMS, as_numpy
+from frameml.plans.running import running_sums
 
 # Gains closer than this share of the parent impurity are ties.
 TIE_DIGITS = 9
@@ -41,6 +49,8 @@ ROWS_PER_BIN = 50_000
 MAX_BINS = 4096
 # Features with at most this many distinct values need no bins.
 FEW_VALUES = 4096
+# Gini searches of at most this many classes hold one column for each.
+FEW_CLASSES = 32
 
 
 @dataclass(frozen=True)
@@ -241,6 +251,37 @@ def _best(k: int, *sources: DataFrame) -> DataFrame:
                                "best.sl as sum_left", "best.ql as square_left")
 
 
+def class_totals(rows: DataFrame) -> DataFrame:
+    """Rows of every (node, class): node, t, total."""
+    return rows.groupBy("node", "t").agg(F.expr("cast(count(1) as double)").alias("total"))
+
+
+def class_node_totals(classes: DataFrame) -> DataFrame:
+    """Per node, from its class totals: rows, sum of squared class totals, largest class (the smallest on a tie)."""
+    return classes.groupBy("node").agg(F.sum("total").alias("all_n"), F.sum(F.col("total") * F.col("total")).alias("all_tt"),
+                                       F.min(F.struct((-F.col("total")).alias("n"), F.col("t"))).getField("t").alias("major"))
+
+
+def best_splits_by_class(rows: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Best Gini split per node of ``rows`` (node, x, t), any number of classes: node, feature, threshold,
+    gain, n, n_left.  ``classes`` and ``nodes`` are the totals above."""
+    lines = _long(rows, False).groupBy("node", "f", "t", "v").agg(F.expr("cast(count(1) as double)").alias("m"))
+    lines = join_summary(running_sums(lines, ["node", "f", "t"], ["v"], ["m"]), classes, ["node", "t"])
+    grown = "sum(run_m * run_m - (run_m - m) * (run_m - m))"
+    by_value = lines.groupBy("node", "f", "v").agg(F.sum("m").alias("n"), F.expr(grown).alias("ll"),
+                                                   F.expr("sum(total * m)").alias("tl"))
+    swept = join_summary(running_sums(by_value, ["node", "f"], ["v"], ["n", "ll", "tl"]), nodes, "node").filter("run_n < all_n")
+    # Right counts are T_c - l_c, so their squares add up to tt - 2 tl + ll.
+    right = "(all_tt - 2D * run_tl + run_ll)"
+    gains = swept.selectExpr("node", "f", "v", "run_n as nl", "all_n", "1D - all_tt / (all_n * all_n) as impurity",
+                             f"(run_ll / run_n + {right} / (all_n - run_n) - all_tt / all_n) / all_n as gain")
+    share = "if(impurity > 0, gain / impurity, 0D)"
+    ranked = f"struct(0D - round({share}, {TIE_DIGITS}) as rank, f, v, gain, nl, all_n as n)"
+    best = gains.groupBy("node").agg(F.expr(f"min({ranked})").alias("best"))
+    return best.selectExpr("node", "best.f as feature", "best.v as threshold", "best.gain as gain", "cast(best.n as bigint) as n",
+                           "cast(best.nl as bigint) as n_left")
+
+
 def _by_value(long: DataFrame, keys: list[str], targets: Targets) -> DataFrame:
     """Sums by (keys, v): heavy duplicate values collapse on the map side."""
     return long.groupBy(*keys, "v").agg(*targets.sums())

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from frameml.operators import boosting as B, trees as T
+from frameml.sources.tables import read_table
 from frameml.workloads.common import embeddings, rounded, scaled_lineitem
 
 BOOST_TREES = 3
@@ -34,6 +35,23 @@ def best_split_gini_by_group(spark, folder):
     return _split(T.best_split_gini(rows, ["q", "p"], late, by="l_returnflag"), "l_returnflag")
 
 
+def best_split_gini_many_classes(spark, folder):
+    """Every order is a class of its own."""
+    rows = read_table(spark, folder, "lineitem").select((F.col("l_quantity") / 50).alias("q"), (F.col("l_discount") * 10).alias("p"),
+                                                        "l_orderkey", "l_returnflag")
+    return _split(T.best_split_gini(rows, ["q", "p"], "l_orderkey", by="l_returnflag"), "l_returnflag")
+
+
+def _by_supplier(spark, folder):
+    rows = read_table(spark, folder, "lineitem").select((F.col("l_quantity") / 50).alias("q"), (F.col("l_discount") * 10).alias("p"),
+                                                        (F.col("l_suppkey") % 97).alias("supplier"))
+    return T.tree_classifier_fit(rows, ["q", "p"], "supplier", max_depth=2)
+
+
+def tree_classifier_many_classes(spark, folder):
+    return _nodes(_by_supplier(spark, folder), spark)
+
+
 def _nodes(model, spark):
     got = model.to_df(spark)
     return got.select("node", "is_leaf", rounded("value").alias("value"), "feature", "threshold")
@@ -83,7 +101,9 @@ def gbt_predict(spark, folder):
 QUERIES = {
     "best_split_variance": best_split_variance, "best_split_variance_by_group": best_split_variance_by_group,
     "best_split_gini": best_split_gini, "best_split_gini_by_group": best_split_gini_by_group,
+    "best_split_gini_many_classes": best_split_gini_many_classes,
     "tree_regressor_fit": tree_regressor_fit, "tree_classifier_fit": tree_classifier_fit,
+    "tree_classifier_many_classes": tree_classifier_many_classes,
     "tree_predict": tree_predict, "tree_predict_class": tree_predict_class,
     "gbt_fit": gbt_fit, "gbt_predict": gbt_predict,
 }
@@ -130,9 +150,9 @@ def _descend(rows: str, splits: str, out: str) -> str:
 {out} as (select r.id, d.node, r.y, r.f, r.v from {rows} r join {out}d d using (id))"""
 
 
-def _tree(level, value: str, keep: str) -> str:
+def _tree(level, value: str, keep: str, long: str = "") -> str:
     """Depth-2 tree: node values and splits as CTE ``t``; final nodes ``z``."""
-    return f"""with {_LONG}, {level('l0', 's0a')}, s0 as (select * from s0a where {keep}), {_descend('l0', 's0', 'l1')},
+    return f"""with {long or _LONG}, {level('l0', 's0a')}, s0 as (select * from s0a where {keep}), {_descend('l0', 's0', 'l1')},
 {level('l1', 's1a')}, s1 as (select * from s1a where {keep}), {_descend('l1', 's1', 'l2')},
 rows_all as (select node, y from l0 where f = 0 union all select node, y from l1 where f = 0
   union all select node, y from l2 where f = 0),
@@ -149,6 +169,9 @@ _MODE = ("select node, y val from (select node, y, count(*) n from rows_all grou
          "qualify row_number() over (partition by node order by n desc, y) = 1")
 _REG = _tree(_variance_level, _MEAN, "gain >= 1e-5")
 _CLS = _tree(_gini_level, _MODE, "parent >= 1e-6")
+_MANY = _tree(_gini_level, _MODE, "parent >= 1e-6", """x as (select row_number() over () id, (l_suppkey % 97)::double y,
+  l_quantity/50 q, l_discount*10 p from lineitem),
+l0 as (select id, 0 node, y, unnest([0, 1])::int f, unnest([q, p]) v from x)""")
 _NODES = "select node, is_leaf, round(\"value\", 6) + 0.0 \"value\", feature, threshold from t"
 
 
@@ -191,7 +214,10 @@ SQL = {
     "best_split_gini": f"with {_LONG}, {_gini_level('l0', 's0')} {_OUT.format(name='node')}",
     "best_split_gini_by_group": "with " + _LINE_LONG.format(y="case when l_linestatus = 'O' then 1 else 0 end")
                                 + f", {_gini_level('l0', 's0')} {_OUT.format(name='l_returnflag')}",
+    "best_split_gini_many_classes": "with " + _LINE_LONG.format(y="l_orderkey") + f", {_gini_level('l0', 's0')} "
+                                    + _OUT.format(name="l_returnflag"),
     "tree_regressor_fit": f"{_REG} {_NODES}",
+    "tree_classifier_many_classes": f"{_MANY} {_NODES}",
     "tree_classifier_fit": f"{_CLS} {_NODES}",
     "tree_predict": f"{_REG} select z.id vec_id, round(t.\"value\", 6) + 0.0 prediction from z join t on z.node = t.heap",
     "tree_predict_class": f"{_CLS} select z.id vec_id, t.\"value\" prediction from z join t on z.node = t.heap",

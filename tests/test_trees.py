@@ -205,3 +205,47 @@ def test_invalid_rows(make):
     with pytest.raises(ValueError):
         T.tree_regressor_fit(broken, ["x0", "x1"], "y")
     assert T.tree_regressor_fit(broken, ["x0", "x1"], "y", handle_invalid="skip").nodes
+
+
+def test_long_gini_equals_columns(make, monkeypatch):
+    """The search over (value, class) lines gives the splits of the search over class columns."""
+    monkeypatch.setattr(splits, "FEW_CLASSES", 1)
+    x, y = data()
+    c = (np.digitize(y, [-1, 1])).astype(float)
+    df = make(x, c)
+    got = T.best_split_gini(df, "x", "y").first()
+    share, f, v, gain = search(x, c, [0.0, 1.0, 2.0])
+    assert (got["feature"], got["threshold"]) == (f, v) and np.isclose(got["gain"], gain)
+    model = T.tree_classifier_fit(df, "x", "y", max_depth=3)
+    got = [r["prediction"] for r in T.tree_predict(df, model, "x").orderBy("id").collect()]
+    assert np.array_equal(got, grow(x, c, 3, [0.0, 1.0, 2.0]))
+
+
+def test_more_classes_than_rows_of_any(make):
+    """40 classes in 120 rows, groups with text keys, one of them pure."""
+    x, _ = data(120)
+    c = np.arange(120) % 40.0
+    g = np.arange(120) % 3
+    c[g == 2] = 5.0
+    df = make(x, c).withColumn("g", F.concat(F.lit("k"), (F.col("id") % 3).cast("string")))
+    got = {r["node"]: r for r in T.best_split_gini(df, "x", "y", by="g").collect()}
+    for k in (0, 1):
+        share, f, v, gain = search(x[g == k], c[g == k], sorted(set(c)))
+        r = got[f"k{k}"]
+        assert (r["feature"], r["threshold"]) == (f, v) and np.isclose(r["gain"], gain)
+    assert got["k2"]["gain"] == 0.0
+
+
+def test_running_sums_over_many_partitions(spark):
+    from frameml.plans.running import running_sums
+
+    rows = [(g, o, float(o % 7), 1.0) for g, n in ((None, 40), ("a", 3), ("big", 3000), ("c", 1)) for o in range(n)]
+    df = spark.createDataFrame(rows, "g string, o int, u double, w double").repartition(5)
+    want, total = {}, {}
+    for g, o, u, w in rows:
+        total[g] = total.get(g, 0.0) + u
+        want[g, o] = (total[g], o + 1.0)
+    got = running_sums(df, ["g"], ["o"], ["u", "w"])
+    assert {(r["g"], r["o"]): (r["run_u"], r["run_w"]) for r in got.collect()} == want
+    assert got.select(F.spark_partition_id().alias("p")).where("g = 'big'").distinct().count() > 1
+    assert running_sums(df.limit(0), ["g"], ["o"], ["u"]).count() == 0
