@@ -1,4 +1,9 @@
-"""Singular values and principal components of tall tables."""
+"""Singular values and principal components.
+
+A tall table is reduced to the d x d Gram of its columns or to a triangle.  One of
+fewer rows than columns is reduced to the n x n Gram of its rows, added up over
+blocks of columns; the right vectors follow from it block by block.
+"""
 
 from __future__ import annotations
 
@@ -12,11 +17,14 @@ from pyspark.sql import functions as F
 
 from frameml.operators.scoring import affine
 from frameml.plans.features import Features, bad_count, prepare, raise_on_bad, resolve
-from frameml.plans.moments import centred_moments, moments
+from frameml.plans.lineage import cut_lineage
+from frameml.plans.moments import NARROW, centred_moments, moments
 from frameml.plans.reduce import as_numpy
 
 # Triangles meeting on the driver after the second QR round.
 QR_FAN = 32
+# Cells of one block of columns of a wide table, about, and rows whose Gram the driver takes apart.
+BLOCK_CELLS, MAX_SIDE = 2_000_000, 20_000
 
 
 @dataclass(frozen=True)
@@ -95,24 +103,94 @@ def _tsqr(df: DataFrame, feats: Features, handle_invalid: str) -> tuple[np.ndarr
     return np.linalg.qr(stacked, mode="r"), int(seen["n"])
 
 
+def _complete(v: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Rows of ``v`` that are not found become unit vectors at right angles to the others."""
+    at = 0
+    for row in np.flatnonzero(~found):
+        while True:
+            unit = np.zeros(v.shape[1])
+            unit[at] = 1.0
+            at += 1
+            for _ in range(2):
+                unit -= v[found].T @ (v[found] @ unit)
+            if np.linalg.norm(unit) > 1e-3 / np.sqrt(v.shape[1]):
+                break
+        v[row], found[row] = unit / np.linalg.norm(unit), True
+    return v
+
+
+def _dual_svd(df: DataFrame, feats: Features, k: int | None, handle_invalid: str) -> tuple[np.ndarray, np.ndarray]:
+    """Values and right vectors of a table of n < d rows from the eigenvectors of XX'."""
+    rows, _, _ = prepare(df, feats, handle_invalid=handle_invalid, as_array=True)
+    rows = cut_lineage(rows.withColumn("id", F.monotonically_increasing_id()))
+    seen = rows.agg(bad_count(rows).alias("bad"), F.count(F.lit(1)).alias("n")).first()
+    raise_on_bad(seen["bad"], seen["n"])
+    n, d = int(seen["n"]), feats.d
+    if n > MAX_SIDE:
+        raise ValueError(f"{n} x {d}: the smaller side may have {MAX_SIDE} at most")
+    k = min(n, d) if k is None else k
+    _check_rank(k, n, d)
+    width = max(1, BLOCK_CELLS // n)
+    blocks = F.sequence(F.lit(0), F.lit((d - 1) // width))
+    cut = F.transform(blocks, lambda b: F.struct(b.alias("block"), F.slice("x", b * width + 1, F.lit(width)).alias("x")))
+    parts = rows.select("id", F.explode(cut).alias("c")).select("id", "c.block", "c.x")
+
+    def part(table):
+        return as_numpy(table["x"])[np.argsort(table["id"].to_numpy())]
+
+    def gram(table):
+        x = part(table)
+        up = np.triu_indices(n)
+        return pa.table({"at": pa.array(np.arange(len(up[0]))), "v": pa.array((x @ x.T)[up])})
+
+    got = parts.groupBy("block").applyInArrow(gram, "at long, v double").groupBy("at").agg(F.sum("v").alias("v")).toArrow()
+    sym = np.zeros((n, n))
+    up = np.triu_indices(n)
+    at = got["at"].to_numpy()
+    sym[up[0][at], up[1][at]] = got["v"].to_numpy()
+    values, vectors = np.linalg.eigh(sym + np.triu(sym, 1).T)
+    order = np.argsort(values)[::-1][:k]
+    s, u = np.sqrt(np.clip(values[order], 0.0, None)), vectors[:, order]
+    # Below this the squared value is rounding of the largest.
+    found = s > s[0] * np.sqrt(n * np.finfo(float).eps)
+    s = np.where(found, s, 0.0)
+    scaled = u * np.divide(1.0, s, out=np.zeros_like(s), where=found)
+
+    def right(key, table):
+        v = part(table).T @ scaled
+        ends = pa.array(np.arange(0, v.size + 1, k), pa.int32())
+        first = key[0].as_py() * width
+        return pa.table({"j": pa.array(np.arange(first, first + len(v))), "v": pa.ListArray.from_arrays(ends, pa.array(v.ravel()))})
+
+    got = parts.groupBy("block").applyInArrow(right, "j long, v array<double>").toArrow()
+    v = np.zeros((k, d))
+    v[:, got["j"].to_numpy()] = as_numpy(got["v"]).T
+    return s, fix_signs(_complete(v, found.copy()))
+
+
 def svd(df: DataFrame, xs, k: int | None = None, method: str = "gram",
         handle_invalid: str = "error") -> SvdModel:
-    """Top ``k`` singular values and right vectors of the rows (uncentred).
+    """Top ``k`` (default: all min(n, d)) singular values and right vectors of the rows (uncentred).
 
     ``gram`` takes the eigenvectors of X'X from one pass.  That squares the
     condition number, so for singular values under 1e-6 of the largest use
-    ``qr``: a QR per partition, folded in two rounds, then the SVD of R.
+    ``qr``: a QR per partition, folded in two rounds, then the SVD of R.  With
+    fewer rows than columns ``gram`` takes the eigenvectors of XX' instead.
     """
     feats = resolve(df, xs)
     if method == "gram":
-        m = moments(df, feats, handle_invalid=handle_invalid)
-        k = feats.d if k is None else k
-        _check_rank(k, m.n, feats.d)
-        values, v = _leading(m.gram, k)
-        s = np.sqrt(values)
+        # Wide Grams are worth a look at the number of rows first.
+        m = None if feats.d > NARROW and df.limit(feats.d).count() < feats.d else moments(df, feats, handle_invalid=handle_invalid)
+        if m is None or m.n < feats.d:
+            s, v = _dual_svd(df, feats, k, handle_invalid)
+        else:
+            k = feats.d if k is None else k
+            _check_rank(k, m.n, feats.d)
+            values, v = _leading(m.gram, k)
+            s = np.sqrt(values)
     elif method == "qr":
         r, n = _tsqr(df, feats, handle_invalid)
-        k = feats.d if k is None else k
+        k = min(n, feats.d) if k is None else k
         _check_rank(k, n, feats.d)
         _, s, vt = np.linalg.svd(r, full_matrices=False)
         s, v = s[:k], fix_signs(vt[:k])

@@ -1,9 +1,14 @@
 """Matrices as tables.
 
-Two layouts.  ``cells``: one line (i, j, v) per element, a missing cell is 0.
-``rows``: one line (i, x) per matrix row with x a dense array; it keeps a row
-together, so element-wise work joins once per row instead of once per cell
-and a product with a small right-hand side needs no shuffle at all.
+Three layouts.  ``cells``: one line (i, j, v) per element, a missing cell is 0.
+``rows``: one line (i, x) per matrix row with x a dense array, a missing row is
+zeros; it keeps a row together, so element-wise work joins once per row instead of
+once per cell and a product with a small right-hand side needs no shuffle at all.
+``columns``: the same lines read as columns, which makes the transpose of ``rows``
+a change of name and A'B a sum of X'Z over batches of joined rows.
+
+``dense`` says that no cell or row is missing; work that must see zeros completes
+the others against ``spark.range``.
 """
 
 from __future__ import annotations
@@ -13,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,12 +40,14 @@ class MatrixTable:
     rows: int
     cols: int
     layout: str = "cells"
+    dense: bool = False
 
     def cells(self) -> DataFrame:
         if self.layout == "cells":
             return self.df
-        return self.df.select("i", F.posexplode("x").alias("j", "v")).select(
-            "i", F.col("j").cast("long").alias("j"), "v")
+        line, place = ("i", "j") if self.layout == "rows" else ("j", "i")
+        return self.df.select(F.col("i").alias(line), F.posexplode("x").alias(place, "v")).select(
+            F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), "v")
 
     @property
     def shape(self) -> tuple[int, int]:
@@ -51,17 +59,20 @@ def from_cells(df: DataFrame, rows: int, cols: int) -> MatrixTable:
                                  F.col("v").cast("double").alias("v")), rows, cols)
 
 
-def from_rows(df: DataFrame, id, features, rows: int | None = None, cols: int | None = None) -> MatrixTable:
+def from_rows(df: DataFrame, id, features, rows: int | None = None, cols: int | None = None,
+              dense: bool = False) -> MatrixTable:
     """Row table with a zero-based unique integer ``id`` and an array column
-    (or a list of scalar columns)."""
+    (or a list of scalar columns).  Without a shape the rows are counted, which
+    also tells whether any is missing."""
     arr = F.col(features) if isinstance(features, str) else F.array(*features)
     table = df.select(F.col(id).cast("long").alias("i"), arr.cast("array<double>").alias("x"))
     if rows is None or cols is None:
-        seen = table.agg(F.max("i"), F.max(F.size("x"))).first()
+        seen = table.agg(F.max("i"), F.max(F.size("x")), F.count("x")).first()
         if seen[0] is None:
             raise ValueError("empty input")
         rows, cols = rows or seen[0] + 1, cols or seen[1]
-    return MatrixTable(table, int(rows), int(cols), "rows")
+        dense = seen[2] == rows
+    return MatrixTable(table, int(rows), int(cols), "rows", dense)
 
 
 def matrix_cells(df: DataFrame, id, features) -> DataFrame:
@@ -70,13 +81,39 @@ def matrix_cells(df: DataFrame, id, features) -> DataFrame:
 
 
 def matrix_rows(m: MatrixTable) -> MatrixTable:
-    """Cells back to rows: each array gathers at most ``cols`` cells."""
+    """Every row as an array, also those without any cell.  A row's array gathers at most ``cols`` cells."""
     if m.layout == "rows":
+        return complete_rows(m)
+    cols = m.cols
+
+    def fill(batches):
+        for batch in batches:
+            # Dense rows of a bounded size at a time.
+            step = max(1, BROADCAST_CELLS // max(cols, 1))
+            for k in range(0, batch.num_rows, step):
+                part = batch.slice(k, step)
+                x = np.zeros((part.num_rows, cols))
+                held = pc.fill_null(pc.list_value_length(part["j"]), 0).to_numpy(zero_copy_only=False)
+                x[np.repeat(np.arange(part.num_rows), held), as_flat(part["j"])] = as_flat(part["v"])
+                ends = pa.array(np.arange(0, x.size + 1, cols), pa.int32())
+                yield pa.RecordBatch.from_arrays([part["i"], pa.ListArray.from_arrays(ends, pa.array(x.ravel()))], ["i", "x"])
+
+    gathered = m.cells().groupBy("i").agg(F.collect_list(F.struct("j", "v")).alias("c")).select("i", "c.j", "c.v")
+    if not m.dense:
+        gathered = _ids(m).join(gathered, "i", "left")
+    return MatrixTable(gathered.mapInArrow(fill, "i long, x array<double>"), m.rows, m.cols, "rows", True)
+
+
+def complete_rows(m: MatrixTable) -> MatrixTable:
+    """Row layout with missing rows written out as zeros."""
+    if m.dense:
         return m
-    gathered = m.df.groupBy("i").agg(F.map_from_entries(F.collect_list(F.struct("j", "v"))).alias("m"))
-    slots = F.sequence(F.lit(0).cast("long"), F.lit(m.cols - 1).cast("long"))
-    dense = F.transform(slots, lambda j: F.coalesce(F.try_element_at(F.col("m"), j), F.lit(0.0)))
-    return MatrixTable(gathered.select("i", dense.alias("x")), m.rows, m.cols, "rows")
+    full = _ids(m).join(m.df, "i", "left").select("i", F.coalesce("x", F.array_repeat(F.lit(0.0), m.cols)).alias("x"))
+    return MatrixTable(full, m.rows, m.cols, "rows", True)
+
+
+def _ids(m: MatrixTable) -> DataFrame:
+    return m.df.sparkSession.range(m.rows).withColumnRenamed("id", "i")
 
 
 def element(m: MatrixTable, i: int, j: int) -> DataFrame:
@@ -89,7 +126,7 @@ def element(m: MatrixTable, i: int, j: int) -> DataFrame:
 def random_matrix(spark: SparkSession, rows: int, cols: int, seed: int = 0) -> MatrixTable:
     """Standard normal cells; a value depends only on (i, j, seed)."""
     grid = _grid(spark, rows, cols)
-    return MatrixTable(grid.withColumn("v", normal("i", "j", seed=seed)), rows, cols)
+    return MatrixTable(grid.withColumn("v", normal("i", "j", seed=seed)), rows, cols, dense=True)
 
 
 def identity_matrix(spark: SparkSession, n: int) -> MatrixTable:
@@ -104,18 +141,30 @@ def zero_matrix(spark: SparkSession, rows: int, cols: int) -> MatrixTable:
 
 def densify(m: MatrixTable) -> MatrixTable:
     """Cell layout with every zero written out."""
+    if m.dense:
+        return MatrixTable(m.cells(), m.rows, m.cols, dense=True)
     grid = _grid(m.df.sparkSession, m.rows, m.cols)
     full = grid.join(m.cells(), ["i", "j"], "left")
-    return MatrixTable(full.select("i", "j", F.coalesce("v", F.lit(0.0)).alias("v")), m.rows, m.cols)
+    return MatrixTable(full.select("i", "j", F.coalesce("v", F.lit(0.0)).alias("v")), m.rows, m.cols, dense=True)
 
 
 def mat_transpose(m: MatrixTable) -> MatrixTable:
-    return MatrixTable(m.cells().select(F.col("j").alias("i"), F.col("i").alias("j"), "v"), m.cols, m.rows)
+    """No data moves: rows become columns by name, cells swap their two numbers."""
+    if m.layout == "cells":
+        return MatrixTable(m.df.select(F.col("j").alias("i"), F.col("i").alias("j"), "v"), m.cols, m.rows, dense=m.dense)
+    return MatrixTable(m.df, m.cols, m.rows, "columns" if m.layout == "rows" else "rows", m.dense)
+
+
+def _as_columns(f, *matrices: MatrixTable) -> MatrixTable:
+    """``f`` of matrices in column layout by way of their transposes."""
+    return mat_transpose(f(*map(mat_transpose, matrices)))
 
 
 def mat_row(m: MatrixTable, i: int) -> MatrixTable:
     """Row ``i`` as a 1 x cols matrix."""
     _in_range(i, m.rows, "row")
+    if m.layout == "columns":
+        return _as_columns(lambda t: mat_col(t, i), m)
     one = m.df.filter(F.col("i") == i).withColumn("i", F.lit(0).cast("long"))
     return MatrixTable(one, 1, m.cols, m.layout)
 
@@ -123,6 +172,8 @@ def mat_row(m: MatrixTable, i: int) -> MatrixTable:
 def mat_col(m: MatrixTable, j: int) -> MatrixTable:
     """Column ``j`` as a rows x 1 matrix."""
     _in_range(j, m.cols, "column")
+    if m.layout == "columns":
+        return _as_columns(lambda t: mat_row(t, j), m)
     zero = F.lit(0).cast("long").alias("j")
     if m.layout == "rows":
         return MatrixTable(m.df.select("i", zero, F.col("x")[j].alias("v")), m.rows, 1)
@@ -130,15 +181,18 @@ def mat_col(m: MatrixTable, j: int) -> MatrixTable:
 
 
 def mat_apply(m: MatrixTable, f: Callable[[Column], Column], keeps_zero: bool | None = None) -> MatrixTable:
-    """Element-wise ``f``.  Cells are filled with zeros first when f(0) is not
+    """Element-wise ``f``.  Missing cells and rows are filled with zeros first when f(0) is not
     0; pass ``keeps_zero`` to skip the check."""
-    if m.layout == "rows":
-        return MatrixTable(m.df.select("i", F.transform("x", f).alias("x")), m.rows, m.cols, "rows")
-    if keeps_zero is None:
+    if m.layout == "columns":
+        return _as_columns(lambda t: mat_apply(t, f, keeps_zero), m)
+    if keeps_zero is None and not m.dense:
         at_zero = m.df.sparkSession.range(1).select(f(F.lit(0.0)).cast("double")).first()[0]
         keeps_zero = at_zero == 0.0
+    if m.layout == "rows":
+        full = m if keeps_zero else complete_rows(m)
+        return MatrixTable(full.df.select("i", F.transform("x", f).alias("x")), m.rows, m.cols, "rows", full.dense)
     full = m if keeps_zero else densify(m)
-    return MatrixTable(full.df.select("i", "j", f(F.col("v")).alias("v")), m.rows, m.cols)
+    return MatrixTable(full.df.select("i", "j", f(F.col("v")).alias("v")), m.rows, m.cols, dense=full.dense)
 
 
 def mat_scale(m: MatrixTable, s: float) -> MatrixTable:
@@ -169,14 +223,30 @@ def hadamard(a: MatrixTable, b: MatrixTable) -> MatrixTable:
 
 
 def mat_div(a: MatrixTable, b: MatrixTable) -> MatrixTable:
-    """Element-wise a * b^-1 with b dense: a zero divisor gives Infinity."""
-    return _pairwise(a, b, lambda p, q: p * F.pow(q, F.lit(-1.0)))
+    """Element-wise a * b^-1.  A zero divisor, written or missing, gives Infinity, and NaN under a zero;
+    a missing dividend over another divisor stays missing (0)."""
+    _same_shape(a, b)
+    if a.layout == b.layout == "columns":
+        return _as_columns(mat_div, a, b)
+    zero = F.lit(0.0)
+    if a.layout == b.layout == "rows":
+        below = complete_rows(b)
+        both = below.df.withColumnRenamed("x", "z").join(a.df, "i", "left")
+        x = F.zip_with(F.coalesce("x", F.array_repeat(zero, a.cols)), "z", lambda p, q: p * F.pow(q, F.lit(-1.0)))
+        return MatrixTable(both.select("i", x.alias("x")), a.rows, a.cols, "rows", True)
+    below = densify(b)
+    both = below.df.withColumnRenamed("v", "u").join(a.cells(), ["i", "j"], "left")
+    kept = both.filter(F.col("v").isNotNull() | (F.col("u") == 0))
+    v = F.coalesce("v", zero) * F.pow("u", F.lit(-1.0))
+    return MatrixTable(kept.select("i", "j", v.alias("v")), a.rows, a.cols, dense=a.dense)
 
 
 def mat_dot(a: MatrixTable, b: MatrixTable) -> DataFrame:
     """One line ``dot``: the sum of element-wise products."""
     _same_shape(a, b)
-    if a.df is b.df:
+    if a.layout == b.layout == "columns":
+        return mat_dot(mat_transpose(a), mat_transpose(b))
+    if a.df is b.df and a.layout == b.layout:
         v = F.col("v")
         if a.layout == "rows":
             inner = F.aggregate("x", F.lit(0.0), lambda acc, u: acc + u * u)
@@ -196,14 +266,20 @@ def matmul(a: MatrixTable, b: MatrixTable, method: str = "auto", block: int = 25
     ``broadcast``: b has at most 1e6 cells and is collected once, counted on
     the way; a in row layout is multiplied in one map pass, a in cell layout
     joins the broadcast and adds up partially.
+    ``rows``: A'B with A and B in row layout: rows meet once, each Arrow batch
+    adds X'Z to an array of its task; the product has at most 1e6 cells.
     ``cells``: equi-join on the inner index.  ``blocks``: cells are packed
     into block x block arrays joined on the inner block, for two large
-    operands.  ``auto`` takes broadcast when b is small, else blocks.
+    operands.  ``auto`` takes rows where it applies, broadcast when b is small,
+    else blocks.
     """
     if a.cols != b.rows:
         raise ValueError(f"cannot multiply {a.shape} by {b.shape}")
     if method == "auto":
-        method = "broadcast" if b.rows * b.cols <= BROADCAST_CELLS else "blocks"
+        across = a.layout == "columns" and b.layout == "rows" and a.rows * b.cols <= BROADCAST_CELLS
+        method = "rows" if across else "broadcast" if b.rows * b.cols <= BROADCAST_CELLS else "blocks"
+    if method == "rows":
+        return _across_product(a, b)
     if method == "broadcast":
         if b.rows * b.cols > BROADCAST_CELLS:
             raise ValueError(f"right-hand side {b.shape} is too large to broadcast")
@@ -237,18 +313,22 @@ def _same_shape(a: MatrixTable, b: MatrixTable) -> None:
 
 def _combine(a: MatrixTable, b: MatrixTable, sign: float) -> MatrixTable:
     _same_shape(a, b)
+    if a.layout == b.layout == "columns":
+        return _as_columns(lambda p, q: _combine(p, q, sign), a, b)
     s = F.lit(sign)
     if a.layout == b.layout == "rows":
         both = a.df.join(b.df.withColumnRenamed("x", "z"), "i", "full")
         zeros = F.array_repeat(F.lit(0.0), a.cols)
         x = F.zip_with(F.coalesce("x", zeros), F.coalesce("z", zeros), lambda p, q: p + s * q)
-        return MatrixTable(both.select("i", x.alias("x")), a.rows, a.cols, "rows")
+        return MatrixTable(both.select("i", x.alias("x")), a.rows, a.cols, "rows", a.dense or b.dense)
     stacked = a.cells().unionAll(b.cells().select("i", "j", (s * F.col("v")).alias("v")))
     return MatrixTable(stacked.groupBy("i", "j").agg(F.sum("v").alias("v")), a.rows, a.cols)
 
 
 def _pairwise(a: MatrixTable, b: MatrixTable, f) -> MatrixTable:
     _same_shape(a, b)
+    if a.layout == b.layout == "columns":
+        return _as_columns(lambda p, q: _pairwise(p, q, f), a, b)
     if a.layout == b.layout == "rows":
         both = a.df.join(b.df.withColumnRenamed("x", "z"), "i")
         return MatrixTable(both.select("i", F.zip_with("x", "z", f).alias("x")), a.rows, a.cols, "rows")
@@ -257,6 +337,38 @@ def _pairwise(a: MatrixTable, b: MatrixTable, f) -> MatrixTable:
     return MatrixTable(both.select("i", "j", f(F.col("v"), F.col("u")).alias("v")), a.rows, a.cols)
 
 
+def as_flat(col: pa.Array) -> np.ndarray:
+    """The elements of a list column in one array."""
+    return col.flatten().to_numpy(zero_copy_only=False)
+
+
+def _wide_rows(col: pa.Array, width: int) -> np.ndarray:
+    """A list column as a matrix; raises when a list has another length."""
+    if not pc.all(pc.equal(pc.list_value_length(col), width), min_count=0).as_py():
+        raise ValueError(f"a row does not have {width} elements")
+    return as_flat(col).reshape(-1, width)
+
+
+def _across_product(a: MatrixTable, b: MatrixTable) -> MatrixTable:
+    """A'B: rows of A and B that share a number, X'Z for each batch, one array for each task."""
+    if a.layout != "columns" or b.layout != "rows" or a.rows * b.cols > BROADCAST_CELLS:
+        raise ValueError("rows need a transposed row layout, a row layout and a small product")
+    p, q = a.rows, b.cols
+    both = a.df.select("x") if a.df is b.df else a.df.join(b.df.withColumnRenamed("x", "z"), "i").select("x", "z")
+
+    def multiply(batches):
+        total = np.zeros((p, q))
+        for batch in batches:
+            if batch.num_rows:
+                x = _wide_rows(batch["x"], p)
+                total += x.T @ (x if batch.num_columns == 1 else _wide_rows(batch["z"], q))
+        i, j = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(j, pa.int64()), pa.array(total[i, j])], ["i", "j", "v"])
+
+    parts = both.mapInArrow(multiply, "i long, j long, v double")
+    return MatrixTable(parts.groupBy("i", "j").agg(F.sum("v").alias("v")), p, q)
+
+
 def _cell_product(a: MatrixTable, b: MatrixTable, b_cells: DataFrame) -> MatrixTable:
     left = a.cells().select("i", F.col("j").alias("k"), F.col("v").alias("p"))
     right = b_cells.select(F.col("i").alias("k"), "j", F.col("v").alias("q"))

@@ -60,7 +60,7 @@ def zero_matrix(spark, folder):
 
 
 def mat_transpose(spark, folder):
-    return M.mat_transpose(embedding_matrix(spark, folder)).df
+    return M.mat_transpose(embedding_matrix(spark, folder)).cells()
 
 
 def mat_row(spark, folder):
@@ -150,14 +150,25 @@ def dense_layer_query(spark, folder):
 def matmul(spark, folder):
     """A (A'A), both factors from the data; the 64 x 64 one is broadcast."""
     a = embedding_matrix(spark, folder)
-    return _out(M.matmul(a, M.matmul(M.mat_transpose(a), a, method="cells")))
+    return _out(M.matmul(a, M.matmul(M.mat_transpose(a), a)))
 
 
 def matmul_gram(spark, folder):
+    """A'A: no row is copied or joined, each batch adds X'X."""
+    a = embedding_matrix(spark, folder)
+    return _out(M.matmul(M.mat_transpose(a), a))
+
+
+def matmul_cells(spark, folder):
     a = embedding_matrix(spark, folder)
     return _out(M.matmul(M.mat_transpose(a), a, method="cells"))
 
 
+def matmul_across(spark, folder):
+    """A'B of two row tables that meet row by row."""
+    return _out(M.matmul(M.mat_transpose(embedding_matrix(spark, folder)), reversed_matrix(spark, folder)))
+
+
 def matmul_blocks(spark, folder):
     a = embedding_matrix(spark, folder)
     return _out(M.matmul(M.mat_transpose(a), a, method="blocks", block=128))
@@ -197,6 +208,33 @@ def mat_div(spark, folder):
     return _out(M.mat_div(M.MatrixTable(a.cells(), *a.shape), M.MatrixTable(shifted.cells(), *b.shape)))
 
 
+def _positive(m):
+    """The cells above 0 only."""
+    return M.MatrixTable(m.cells().filter("v > 0"), *m.shape)
+
+
+def mat_div_sparse(spark, folder):
+    """Missing divisors are zeros; what they give is written as text, as infinities do not round."""
+    got = M.mat_div(_positive(embedding_matrix(spark, folder)), _positive(reversed_matrix(spark, folder)))
+    v = F.col("v")
+    kind = F.when(F.isnan(v), "nan").when(v == float("inf"), "inf").otherwise("number")
+    return got.df.select("i", "j", kind.alias("kind"), F.when(kind == "number", F.round(v, 3) + 0.0).alias("v"))
+
+
+def mat_apply_sparse_rows(spark, folder):
+    """exp over a row table without the rows of odd labels: missing rows become ones."""
+    a = embedding_matrix(spark, folder)
+    even = embeddings(spark, folder).filter("label % 2 = 0")
+    return _out(M.mat_apply(M.from_rows(even, "vec_id", "embedding", *a.shape), F.exp))
+
+
+def matrix_rows_sparse(spark, folder):
+    """Rows of the cells above 0.2, those without any included."""
+    a = embedding_matrix(spark, folder)
+    few = M.MatrixTable(a.cells().filter("v > 0.2"), *a.shape)
+    return _out(M.matrix_rows(few))
+
+
 def mat_dot(spark, folder):
     got = M.mat_dot(embedding_matrix(spark, folder), reversed_matrix(spark, folder))
     return got.select(rounded("dot").alias("dot"))
@@ -215,7 +253,9 @@ QUERIES = {
     "soft_threshold": soft_threshold_query, "squared_distance": squared_distance_query,
     "activation": activation_query, "activation_grad": activation_grad_query, "softmax": softmax_query,
     "softmax_grad": softmax_grad_query, "dropout": dropout_query, "dense_layer": dense_layer_query,
-    "matmul": matmul, "matmul_gram": matmul_gram, "matmul_blocks": matmul_blocks,
+    "matmul": matmul, "matmul_gram": matmul_gram, "matmul_cells": matmul_cells, "matmul_across": matmul_across,
+    "mat_div_sparse": mat_div_sparse, "mat_apply_sparse_rows": mat_apply_sparse_rows,
+    "matrix_rows_sparse": matrix_rows_sparse, "matmul_blocks": matmul_blocks,
     "matmul_cells_broadcast": matmul_cells_broadcast, "mat_add": mat_add, "mat_add_cells": mat_add_cells,
     "mat_sub": mat_sub, "mat_sub_rows": mat_sub_rows, "hadamard": hadamard, "mat_div": mat_div,
     "mat_dot": mat_dot, "mat_dot_self": mat_dot_self,
@@ -266,6 +306,14 @@ SQL = {
     "matmul": f"with {CELLS}, {_GRAM} select a.i, g.j, round(sum(a.v*g.v), 6) + 0.0 v "
               "from a join g on a.j = g.i group by 1, 2",
     "matmul_gram": f"with {CELLS}, {_GRAM} select i, j, round(v, 6) + 0.0 v from g",
+    "matmul_cells": f"with {CELLS}, {_GRAM} select i, j, round(v, 6) + 0.0 v from g",
+    "matmul_across": f"with {_PAIR} select a.j i, b.j, round(sum(a.v*b.u), 6) + 0.0 v from a join b using (i) group by 1, 2",
+    "mat_div_sparse": f"with {_PAIR}, d as (select i, j, case when v > 0 then v else 0 end v, case when u > 0 then u else 0 end u "
+                      "from a join b using (i, j)) select i, j, case when u > 0 then 'number' when v > 0 then 'inf' else 'nan' end "
+                      "kind, case when u > 0 then round(v / u, 3) + 0.0 end v from d where v > 0 or u = 0",
+    "mat_apply_sparse_rows": f"with {CELLS} select i, j, round(case when label % 2 = 0 then exp(v) else 1 end, 6) + 0.0 v "
+                             "from a join embeddings on i = vec_id",
+    "matrix_rows_sparse": f"with {CELLS} select i, j, round(case when v > 0.2 then v else 0 end, 6) + 0.0 v from a",
     "matmul_blocks": f"with {CELLS}, {_GRAM} select i, j, round(v, 6) + 0.0 v from g",
     "matmul_cells_broadcast": f"with {CELLS} select i, j, round(v, 6) + 0.0 v from a",
     "mat_add": f"with {_PAIR} select i, j, round(v + u, 6) + 0.0 v from a join b using (i, j)",

@@ -52,6 +52,18 @@ def svd_rebuild(spark, folder):
     return cells.select("i", "j", rounded("v").alias("v"))
 
 
+def svd_wide(spark, folder):
+    """Ten rows of 64 columns, the mean vectors of the labels, from their U S V'."""
+    long = embeddings(spark, folder).select("label", F.posexplode("embedding").alias("j", "v"))
+    means = long.groupBy("label", "j").agg(F.avg("v").alias("v"))
+    rows = means.groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("j", "v"))), lambda c: c["v"]).alias("x"))
+    model = D.svd(rows, "x")
+    left = D.svd_left(rows, model, "x")
+    scaled = left.withColumn("us", F.zip_with("u", F.array(*[F.lit(s) for s in model.s]), lambda u, s: u * s))
+    back = D.pca_inverse_transform(scaled, D.PcaModel((0.0,) * len(model.v[0]), model.v, model.s), "us")
+    return back.select("label", F.posexplode("x_hat").alias("j", "v")).select("label", "j", rounded("v").alias("v"))
+
+
 def pca_fit(spark, folder):
     model = D.pca_fit(scaled_events(spark, folder), XS, 2)
     got = model.to_df(spark).withColumnRenamed("loading", "v")
@@ -150,7 +162,7 @@ def gmm_predict(spark, folder):
 
 
 QUERIES = {
-    "svd": svd, "svd_qr": svd_qr, "svd_left": svd_left, "svd_rebuild": svd_rebuild, "pca_fit": pca_fit,
+    "svd": svd, "svd_qr": svd_qr, "svd_left": svd_left, "svd_rebuild": svd_rebuild, "svd_wide": svd_wide, "pca_fit": pca_fit,
     "pca_transform": pca_transform, "pca_inverse_transform": pca_inverse_transform, "pca_rebuild": pca_rebuild,
     "pca_total_variance": pca_total_variance, "kmeans_init_pp": kmeans_init_pp, "kmeans_fit": kmeans_fit,
     "kmeans_predict": kmeans_predict, "kmeans_wide": kmeans_wide, "gaussian_pdf": gaussian_pdf,
@@ -212,6 +224,7 @@ SQL = {
     "svd_qr": _SVD_OUT,
     "svd_left": f"{_SVD} select event_id, round((a*f.x+b*f.y)/sqrt(f.e), 6) + 0.0 u0, "
                 "round((a*g.x+b*g.y)/sqrt(g.e), 6) + 0.0 u1 from x, v f, v g where f.component = 0 and g.component = 1",
+    "svd_wide": f"with {CELLS} select label, j::int j, round(avg(v), 6) + 0.0 v from a join embeddings on i = vec_id group by 1, 2",
     "svd_rebuild": f"with {CELLS} select i, j, round(v, 6) + 0.0 v from a",
     "pca_fit": f"{_PCA} select component, round(e, 6) + 0.0 explained_variance, 0::int j, round(x, 6) + 0.0 v from v "
                "union all select component, round(e, 6) + 0.0, 1::int, round(y, 6) + 0.0 from v",

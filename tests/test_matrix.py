@@ -126,3 +126,58 @@ def test_gather_rows(spark, make):
     assert sorted(r["id"] for r in M.gather_rows(df, ids=ids).collect()) == [1, 3]
     with pytest.raises(ValueError):
         M.gather_rows(df)
+
+
+def test_transposed_rows_stay_rows(spark):
+    """Every operation on the transpose of a row table equals the one on its cells."""
+    a, b = RNG.normal(size=(5, 4)), RNG.normal(size=(5, 4))
+    s, t = (M.mat_transpose(table(spark, m, "rows")) for m in (a, b))
+    assert s.layout == "columns" and M.mat_transpose(s).df is s.df
+    assert np.allclose(dense(s), a.T) and np.allclose(dense(M.mat_transpose(s)), a)
+    assert np.allclose(dense(M.mat_add(s, t)), a.T + b.T) and np.allclose(dense(M.mat_sub(s, t)), a.T - b.T)
+    assert np.allclose(dense(M.hadamard(s, t)), a.T * b.T) and np.allclose(dense(M.mat_div(s, t)), a.T / b.T)
+    assert np.isclose(M.mat_dot(s, t).first()["dot"], (a * b).sum())
+    assert np.isclose(M.mat_dot(s, table(spark, b.T)).first()["dot"], (a * b).sum())
+    assert np.allclose(dense(M.mat_row(s, 2)), a.T[2:3]) and np.allclose(dense(M.mat_col(s, 3)), a.T[:, 3:4])
+    assert np.allclose(dense(M.mat_apply(s, F.exp)), np.exp(a.T)) and np.allclose(dense(M.matrix_rows(s)), a.T)
+    assert M.element(s, 3, 1).first()["v"] == a[1, 3]
+
+
+def test_product_across_rows(spark):
+    """A'B adds X'Z per batch; rows that one side lacks add nothing; odd widths raise."""
+    a, b = RNG.normal(size=(40, 3)), RNG.normal(size=(40, 6))
+    left, right = table(spark, a, "rows", 4), table(spark, b, "rows", 2)
+    for method in ("auto", "rows"):
+        assert np.allclose(dense(M.matmul(M.mat_transpose(left), right, method)), a.T @ b)
+    assert np.allclose(dense(M.matmul(M.mat_transpose(left), left)), a.T @ a)
+    some = M.MatrixTable(right.df.filter("i % 2 = 0"), 40, 6, "rows")
+    assert np.allclose(dense(M.matmul(M.mat_transpose(left), some)), a[::2].T @ b[::2])
+    with pytest.raises(ValueError):
+        M.matmul(left, right.__class__(right.df, 3, 40), "rows")
+    odd = M.from_rows(spark.createDataFrame([(0, [1.0]), (1, [1.0, 2.0])], "id long, x array<double>"), "id", "x", 2, 2)
+    with pytest.raises(Exception, match="does not have 2"):
+        M.matmul(M.mat_transpose(odd), odd).df.collect()
+
+
+@pytest.mark.parametrize("layout", ["cells", "rows"])
+def test_missing_cells_and_rows_are_zeros(spark, layout):
+    a, b = np.array([[4.0, 0, 3], [0, 0, 0], [0, 2, 0]]), np.array([[2.0, 0, 0], [0, 5, 0], [0, 0, 0]])
+
+    def sparse(m):
+        t = table(spark, m, layout)
+        return t if layout == "cells" else M.MatrixTable(t.df.filter(F.exists("x", lambda v: v != 0)), 3, 3, "rows")
+
+    got = np.zeros((3, 3))
+    for r in M.mat_div(sparse(a), sparse(b)).cells().collect():
+        got[r["i"], r["j"]] = r["v"]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        assert np.array_equal(got, a * (1 / b), equal_nan=True)
+    assert np.allclose(dense(M.mat_apply(sparse(a), lambda v: v + 1)), a + 1)
+    rows = M.matrix_rows(sparse(a)).df.orderBy("i").collect()
+    assert [r["i"] for r in rows] == [0, 1, 2] and np.array_equal([r["x"] for r in rows], a)
+
+
+def test_counted_rows_tell_density(spark):
+    df = spark.createDataFrame([(0, [1.0]), (2, [3.0])], "id long, x array<double>")
+    assert not M.from_rows(df, "id", "x").dense and M.from_rows(df.filter("id = 0"), "id", "x").dense
+    assert np.allclose(dense(M.mat_apply(M.from_rows(df, "id", "x"), F.exp)), np.exp([[1.0], [0], [3]]))

@@ -19,6 +19,25 @@ def test_svd_rebuilds(make, method):
     assert np.allclose(u.T @ u, np.eye(5), atol=1e-8)
 
 
+@pytest.mark.parametrize("blocks", [2_000_000, 20])
+def test_svd_of_wide_tables(make, monkeypatch, blocks):
+    """Fewer rows than columns: values, right angles and the table itself, also without full rank."""
+    monkeypatch.setattr(D, "BLOCK_CELLS", blocks)
+    rng = np.random.default_rng(8)
+    for a in (np.array([[3.0, 2, 2], [2, 3, -2]]), rng.normal(size=(4, 23)), np.outer([1.0, 2, 0], rng.normal(size=19))):
+        df = make(a)
+        for method in ("gram", "qr"):
+            model = D.svd(df, "x", method=method)
+            v = np.array(model.v)
+            assert v.shape == a.shape and np.allclose(v @ v.T, np.eye(len(a)), atol=1e-7)
+            assert np.allclose(model.s, np.linalg.svd(a, compute_uv=False), atol=1e-7)
+            left = D.svd_left(df, model, "x").orderBy("id").collect()
+            assert np.allclose(np.array([r["u"] for r in left]) * model.s @ v, a, atol=1e-7)
+    assert len(D.svd(make(a), "x", k=2).s) == 2
+    with pytest.raises(ValueError):
+        D.svd(make(a), "x", k=4)
+
+
 def test_svd_of_the_small_fixture(make):
     a = np.array([[3.0, 2, 2], [2, 3, -2]]).T
     assert np.allclose(D.svd(make(a), "x").s, [5, 3])
