@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from frameml.operators.trees import (MIN_VARIANCE_GAIN, NODE_SCHEMA, TreeModel, _Open, grow, label_stats, leaf_values,
                                      node_rows, training_table)
 from frameml.plans.features import balanced_sum, resolve
-from frameml.plans.lineage import cut_lineage
+from frameml.plans.lineage import Rolling
 from frameml.plans.reduce import persisted
 from frameml.plans.splits import NUMERIC, choose_bins, with_bins
 
@@ -56,13 +56,14 @@ def gbt_fit(df: DataFrame, xs, y, n_estimators: int = 100, lr: float = 0.1, max_
     Rows, bins and labels are prepared once.  The residual sums at a new root
     follow from the last tree's leaf sums, so a tree costs only its level
     searches.  The running residual is written to the shared checkpoint folder
-    every ten trees."""
+    every ten trees; one copy is there at a time and none after the fit."""
     rows, feats = training_table(df, xs, y, handle_invalid)
     trees: list[TreeModel] = []
     history = []
     n, base = label_stats(rows)
     binning = choose_bins(rows, n, feats.d)
     start = with_bins(rows.select("x", (F.col("y") - F.lit(base)).alias("t")), binning)
+    copies = Rolling(df.sparkSession)
     with persisted(start) as cached:
         data = cached
         total, square = data.agg(F.sum("t"), F.sum(F.col("t") * F.col("t"))).first()
@@ -81,8 +82,9 @@ def gbt_fit(df: DataFrame, xs, y, n_estimators: int = 100, lr: float = 0.1, max_
                 history.append((t, square / n))
             data = data.withColumn("t", F.col("t") - F.lit(float(lr)) * leaf_values(data, tree, feats))
             if (t + 1) % TREES_PER_CHECKPOINT == 0 and t + 1 < n_estimators:
-                data = cut_lineage(data)
+                data = copies.keep(data)
                 cached.unpersist()
+    copies.close()
     return BoostingModel(base, float(lr), tuple(trees), tuple(history))
 
 

@@ -6,16 +6,22 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from frameml.functions.vectors import argmin, squared_distance
 from frameml.operators.scoring import batch_map
 from frameml.plans.features import Features, bad_count, prepare, raise_on_bad, resolve
+from frameml.plans.lineage import Rolling
 from frameml.plans.randomness import uniform
 from frameml.plans.reduce import MAX_LITERAL_TERMS, partition_sums, persisted
 
 
+# Rounds of the start between two copies of the carried distances in the shared folder.
+ROUNDS_PER_COPY = 16
+
+
 @dataclass(frozen=True)
 class KMeansModel:
     centres: tuple[tuple[float, ...], ...]
@@ -64,16 +70,13 @@ def assignment(df: DataFrame, xs, centres) -> Column:
     return batch_map(feats, lambda z, s: _nearest(z, s).argmin(axis=1).astype(np.int32), c, "int")
 
 
-def _start_pass(rows: DataFrame, feats: Features, centres: np.ndarray | None, step: int, seed: int):
+def _start_pass(rows: DataFrame, feats: Features, step: int, seed: int):
     """The row with the smallest -ln(u)/weight is a draw with probability
-    proportional to its weight; ``min_by`` finds it with a partial
+    proportional to its weight, the carried distance ``gap``; ``min_by`` finds it with a partial
     aggregation, so no row is sorted or shuffled."""
-    u = uniform("row_id", F.lit(step).cast("long"), seed=seed)
-    if centres is None:
-        key = -F.log(u)
-    else:
-        gap = nearest_distance(rows, feats, centres)
-        key = F.when(gap > 0, -F.log(u) / gap).otherwise(F.lit(float("inf")))
+    key = -F.log(uniform("row_id", F.lit(step).cast("long"), seed=seed))
+    if step:
+        key = F.when(F.col("gap") > 0, key / F.col("gap")).otherwise(F.lit(float("inf")))
     pick = F.min_by(feats.array(), F.struct(key, F.col("row_id")))
     return rows.agg(pick.alias("pick"), F.count(F.lit(1)).alias("n"), bad_count(rows).alias("bad")).first()
 
@@ -94,15 +97,29 @@ def kmeans_init_pp(df: DataFrame, xs, k: int, id: str, seed: int = 0,
 
 
 def _init_pp(data: DataFrame, feats: Features, k: int, seed: int) -> np.ndarray:
-    centres = None
-    for step in range(k):
-        got = _start_pass(data, feats, centres, step, seed)
-        raise_on_bad(got["bad"], got["n"])
-        if k > got["n"]:
-            raise ValueError(f"{k} clusters from {got['n']} rows")
-        pick = np.array([got["pick"]])
-        centres = pick if centres is None else np.vstack([centres, pick])
-    return centres
+    """Every row keeps its distance to the nearest centre so far, so a round measures one new centre only."""
+    centres, carried, copies = [], None, Rolling(data.sparkSession)
+    rows = data
+    try:
+        for step in range(k):
+            if step:
+                new = nearest_distance(rows, feats, [centres[-1]])
+                rows = rows.withColumn("gap", new if step == 1 else F.least("gap", new))
+                rows = rows if step % ROUNDS_PER_COPY else copies.keep(rows)
+                rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            got = _start_pass(rows, feats, step, seed)
+            if carried is not None:
+                carried.unpersist()
+            carried = rows if step else None
+            raise_on_bad(got["bad"], got["n"])
+            if k > got["n"]:
+                raise ValueError(f"{k} clusters from {got['n']} rows")
+            centres.append(got["pick"])
+    finally:
+        if carried is not None:
+            carried.unpersist()
+        copies.close()
+    return np.array(centres)
 
 
 def _lloyd_kernel(cols, state):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from frameml.operators.scoring import batch_map
 from frameml.plans.features import Features, bad_count, prepare, raise_on_bad, resolve
 from frameml.plans import splits
-from frameml.plans.lineage import BROADCAST_ROWS, cut_lineage
+from frameml.plans.lineage import cut_lineage, is_small
 from frameml.plans.reduce import persisted
 from frameml.plans.splits import (NUMERIC, KnownTotals, TableTotals, Targets, best_splits, best_splits_by_class,
                                   choose_bins, class_node_totals, class_targets, class_totals, node_totals,
@@ -275,7 +275,7 @@ def _one_level(rows: DataFrame, n: float, feats: Features, label: Column, target
     binning = choose_bins(rows, n, feats.d)
     data = with_bins(rows.select("node", "x", label.alias("t")), binning)
     totals = cut_lineage(node_totals(data, targets))
-    few = totals.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    few = is_small(totals)
     found = best_splits(data, TableTotals(totals, few), targets, not binning.trivial, few)
     return found.drop("sum_left", "square_left")
 

@@ -12,6 +12,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,9 @@ def as_numpy(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
         col = col.combine_chunks()
     if pa.types.is_list(col.type) or pa.types.is_large_list(col.type):
         flat = col.flatten().to_numpy(zero_copy_only=False)
+        width = pc.min_max(pc.list_value_length(col))
+        if width["min"].as_py() != width["max"].as_py():
+            raise ValueError(f"arrays of {width['min']} to {width['max']} elements in one column")
         return flat.reshape(len(col), -1)
     return col.to_numpy(zero_copy_only=False)
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from frameml.plans.lineage import BROADCAST_ROWS, cut_lineage, join_summary
+from frameml.plans.lineage import BROADCAST_BYTES, cut_lineage, is_small, join_summary
 from frameml.plans.reduce import MAX_LITERAL_TERMS, as_numpy
 from frameml.plans.running import running_sums
 
@@ -212,7 +212,9 @@ class KnownTotals:
                 cases.append(f"case node {whens} end as {name}")
             return df.selectExpr("*", *cases)
         schema = "node int, " + ", ".join(f"{n} double" for n in self.names)
-        return df.join(F.broadcast(df.sparkSession.createDataFrame(lines, schema)), "node")
+        table = df.sparkSession.createDataFrame(lines, schema)
+        small = 8 * len(lines) * (self.k + 3) <= BROADCAST_BYTES
+        return df.join(F.broadcast(table) if small else table, "node")
 
 
 class TableTotals:
@@ -325,8 +327,7 @@ def best_splits(rows: DataFrame, totals: KnownTotals | TableTotals, targets: Tar
     keys = ["node", "f", "bin"]
     carried = ["n_before", *_names("s_before", k), "q_before", "all_n", *_names("all_s", k), "all_q"]
     open_bins = marked.filter("open").select(*keys, *carried)
-    few = open_bins.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    if few:
+    if is_small(open_bins):
         mask = F.broadcast(open_bins.select(*keys))
         counted = _by_value(long.join(mask, keys, "left_semi"), keys, targets).join(F.broadcast(open_bins), keys)
     else:

@@ -140,10 +140,10 @@ def logistic_fit(spark, folder):
 
 
 def logistic_gradient(spark, folder):
-    """Squared gradient norm of the first two steps, as a share of rows^2."""
+    """Squared gradient norm of every step, as a share of rows^2."""
     model = _newton(spark, folder)
     n = read_table(spark, folder, "lineitem").count()
-    return model.history_df(spark).filter("step < 2").select("step", rounded(F.col("gradient_sq") / n / n, 9).alias("share"))
+    return model.history_df(spark).select("step", rounded(F.col("gradient_sq") / n / n, 9).alias("share"))
 
 
 def logistic_predict_proba(spark, folder):
@@ -268,7 +268,7 @@ SQL = {
     "logistic_fit": f"with recursive {_NEWTON} select 0::int j, round(t0, 6) + 0.0 theta from r where i = 5 "
                     "union all select 1::int, round(t1, 6) + 0.0 from r where i = 5",
     "logistic_gradient": f"with recursive {_NEWTON} select (i-1)::int step, round(gg/c/c, 9) + 0.0 share "
-                         "from r, (select count(*)::double c from lineitem) where i in (1, 2)",
+                         "from r, (select count(*)::double c from lineitem) where i > 0",
     "logistic_predict_proba": f"with recursive {_NEWTON} select l_returnflag, l_linestatus, count(*) n, "
                               "round(avg(1/(1+exp(-(t0+t1*q)))), 6) + 0.0 probability from x, r where i = 5 group by 1, 2",
     "logistic_predict": f"with recursive {_NEWTON} select l_returnflag, (case when 1/(1+exp(-(t0+t1*q))) >= 0.53 "

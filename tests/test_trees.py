@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from frameml.operators import boosting as B, metrics, trees as T
-from frameml.plans import splits
+from frameml.plans import lineage, splits
 
 RNG = np.random.default_rng(4)
 
@@ -55,7 +55,7 @@ def bins(request, monkeypatch):
         monkeypatch.setattr(splits, "ROWS_PER_BIN", 12)
         monkeypatch.setattr(splits, "FEW_VALUES", 1)
     if request.param == "many open bins":
-        monkeypatch.setattr(splits, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(lineage, "BROADCAST_ROWS", 0)
     return request.param
 
 
