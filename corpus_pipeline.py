@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from frameml.llm.decontamination import drop_contaminated
 from frameml.llm.jaccard_join import jaccard_components
-from frameml.llm.packing import pack_documents, vocabulary_path
+from frameml.llm.packing import pack_documents, vocabulary_path, vocabulary_special
 from frameml.llm.pii import redact
 from frameml.llm.quality import THRESHOLD, fit_quality, score_quality
 from frameml.plans.lineage import cut_lineage, join_summary
@@ -30,10 +30,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the smallest id of each group of documents linked by a similarity of
-    0.8 or more over five-word shingles.  Rows without id, which link with nothing, stay."""
-    groups = jaccard_components(docs, width=5, percent=80)
+    0.8 or more over five-word shingles.  Of several rows of one id the least one stays (by
+    the columns in order).  Rows without id, which link with nothing, stay; so do null and empty texts."""
+    groups = cut_lineage(jaccard_components(docs, width=5, percent=80))
     gone = cut_lineage(groups.where("doc_id <> component_id").select("doc_id").distinct())
-    return join_summary(docs, gone, "doc_id", "left_anti").select(*docs.columns)
+    kept = join_summary(docs, gone, "doc_id", "left_anti").select(*docs.columns)
+    many = cut_lineage(groups.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"))
+    if many.isEmpty():
+        return kept
+    row = F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns)))
+    least = join_summary(kept, many, "doc_id", "left_semi").groupBy("doc_id").agg(row.alias("row")).select("row.*")
+    return join_summary(kept, many, "doc_id", "left_anti").select(*docs.columns).union(least.select(*docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +58,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack the token ids of all documents into sequences of 2048."""
-    return pack_documents(docs, vocabulary_path())
+    """Pack the token ids of all documents into sequences of 2048; a null or empty text is its closing id alone."""
+    return pack_documents(docs, vocabulary_path(), special=vocabulary_special())
 
 
 STAGES = [
