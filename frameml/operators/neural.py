@@ -22,12 +22,11 @@ from frameml.operators.scoring import batch_map
 from frameml.plans.features import bad_count, prepare, raise_on_bad, resolve
 from frameml.plans.reduce import MAX_LITERAL_TERMS, partition_sums, persisted
 
-# Offset in the cross-entropy logarithm, Adam constants.
+# Offset in the cross-entropy logarithm, Adam constants, default rates.
 CE_EPS = 1e-7
-ADAM_BETA1 = 0.9
-ADAM_BETA2 = 0.999
+ADAM_BETAS = (0.9, 0.999)
 ADAM_EPS = 1e-8
-DEFAULT_LR = 0.001
+DEFAULT_LR = {"sgd": 0.01, "adam": 0.001}
 
 ACTIVATIONS = ("relu", "tanh", "sigmoid")
 
@@ -179,15 +178,16 @@ class _Sgd:
 class _Adam:
     """First and second moment averages with bias correction."""
 
-    def __init__(self, lr: float):
-        self.lr, self.m, self.v, self.t = lr, 0.0, 0.0, 0
+    def __init__(self, lr: float, betas: tuple[float, float] = ADAM_BETAS):
+        self.lr, self.betas, self.m, self.v, self.t = lr, betas, 0.0, 0.0, 0
 
     def delta(self, g: np.ndarray) -> np.ndarray:
         self.t += 1
-        self.m = ADAM_BETA1 * self.m + (1.0 - ADAM_BETA1) * g
-        self.v = ADAM_BETA2 * self.v + (1.0 - ADAM_BETA2) * g * g
-        m_hat = self.m / (1.0 - ADAM_BETA1**self.t)
-        v_hat = self.v / (1.0 - ADAM_BETA2**self.t)
+        first, second = self.betas
+        self.m = first * self.m + (1.0 - first) * g
+        self.v = second * self.v + (1.0 - second) * g * g
+        m_hat = self.m / (1.0 - first**self.t)
+        v_hat = self.v / (1.0 - second**self.t)
         return -self.lr * m_hat / (np.sqrt(v_hat) + ADAM_EPS)
 
 
@@ -205,13 +205,14 @@ def _moved(layers, delta: np.ndarray) -> tuple[Layer, ...]:
 
 
 def mlp_fit(df: DataFrame, xs, y, network: Network | None = None, hidden: Sequence[int] = (8,),
-            outputs: int = 1, loss: str = "mse", optimizer: str = "sgd", lr: float = DEFAULT_LR,
-            momentum: float = 0.0, epochs: int = 1, batches: int = 1, id: str | None = None,
+            outputs: int = 1, loss: str = "mse", optimizer: str = "sgd", lr: float | None = None,
+            momentum: float = 0.0, betas: tuple[float, float] = ADAM_BETAS, epochs: int = 1, batches: int = 1, id: str | None = None,
             clip: float | None = None, seed: int = 0, handle_invalid: str = "error") -> Network:
     """Train ``network`` (or a new one with ``hidden`` layers and ``outputs``).
 
     ``loss``: 'mse' (2(p - y) at the output) or 'ce' (softmax minus one-hot at
-    the logits, y a class number).  ``optimizer``: 'sgd' or 'adam'.  With
+    the logits, y a class number).  ``optimizer``: 'sgd' (``momentum``, rate 0.01
+    unless given) or 'adam' (``betas``, 0.001).  With
     ``batches`` > 1 the rows fall into hash buckets of the unique ``id`` and
     every epoch steps through them; one full batch is the default.  ``clip``
     bounds each component of the mean gradient.  Dropout layers need ``id``.
@@ -221,6 +222,8 @@ def mlp_fit(df: DataFrame, xs, y, network: Network | None = None, hidden: Sequen
         raise ValueError(f"unknown loss {loss!r}")
     if optimizer not in ("sgd", "adam"):
         raise ValueError(f"unknown optimizer {optimizer!r}")
+    if not all(0.0 <= b < 1.0 for b in betas):
+        raise ValueError("betas need 0 <= beta < 1")
     feats = resolve(df, xs)
     network = network or mlp(feats.d, [*hidden, outputs], seed)
     layers = network.layers
@@ -239,7 +242,8 @@ def mlp_fit(df: DataFrame, xs, y, network: Network | None = None, hidden: Sequen
         # others by their min/max statistics.  No shuffle is needed for it.
         rows = rows.sortWithinPartitions("bucket")
     size = sum(l.w.size + l.b.size for l in network.linear) + 2
-    rule = _Adam(lr) if optimizer == "adam" else _Sgd(lr, momentum)
+    rate = DEFAULT_LR[optimizer] if lr is None else lr
+    rule = _Adam(rate, betas) if optimizer == "adam" else _Sgd(rate, momentum)
     history = []
     with persisted(rows) as cached:
         seen = cached.agg(bad_count(cached).alias("bad"), F.count(F.lit(1)).alias("n"),

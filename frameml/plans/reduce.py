@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 # Largest number of literal terms put into generated code; beyond it the
 # state is broadcast and the rows go through Arrow batches.
 MAX_LITERAL_TERMS = 200
+# Numbers of one line of partial sums.
+CHUNK = 1024
 
 
 def sum_exprs(df: DataFrame, exprs: Sequence[Column]) -> np.ndarray:
@@ -43,7 +45,8 @@ def as_numpy(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 def partition_sums(df: DataFrame, kernel: Callable, size: int, state=None) -> np.ndarray:
     """``kernel(columns, state) -> vector[size]`` on every Arrow batch, added up
-    over each partition in NumPy and over partitions by a Spark aggregation.
+    over each partition in NumPy.  The sums of the partitions cross the network as arrays
+    of CHUNK numbers and meet by their place, so the driver receives ``size`` numbers in all.
 
     ``state`` is model-sized and is shipped as a broadcast variable.  It is
     pickled by value first: a plain broadcast would look up the state's
@@ -59,17 +62,28 @@ def partition_sums(df: DataFrame, kernel: Callable, size: int, state=None) -> np
             if batch.num_rows:
                 cols = {n: as_numpy(c) for n, c in zip(batch.schema.names, batch.columns)}
                 total += kernel(cols, current)
-        slots = np.flatnonzero(total)
+        first = np.arange(0, size, CHUNK)
+        ends = pa.array(np.append(first, size), pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(slots, pa.int64()), pa.array(total[slots], pa.float64())], ["slot", "part"])
+            [pa.array(first), pa.ListArray.from_arrays(ends, pa.array(total))], ["first", "part"])
 
+    def add(batches: Iterable[pa.RecordBatch]):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for first, part in zip(batch["first"].to_pylist(), batch["part"]):
+                values = part.values.to_numpy()
+                held[first] = held[first] + values if first in held else values
+        for first, values in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([values], pa.list_(pa.float64()))], ["first", "part"])
+
+    kind = "first long, part array<double>"
     try:
-        parts = df.mapInArrow(run, "slot long, part double")
-        got = parts.groupBy("slot").agg(F.sum("part").alias("total")).toArrow()
+        got = df.mapInArrow(run, kind).repartition("first").mapInArrow(add, kind).toArrow()
     finally:
         shared.unpersist()
     out = np.zeros(size)
-    out[got["slot"].to_numpy()] = got["total"].to_numpy()
+    for first, values in zip(got["first"].to_pylist(), got["part"]):
+        out[first:first + len(values)] = values.values.to_numpy()
     return out
 
 

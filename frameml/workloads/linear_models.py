@@ -157,7 +157,30 @@ def logistic_predict(spark, folder):
     return scored.groupBy("l_returnflag", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _holed_lines(spark, folder):
+    """Every line by its key, without a discount where that is 0."""
+    rows = read_table(spark, folder, "lineitem")
+    return rows.select("l_orderkey", "l_linenumber", F.lit(1.0).alias("one"), (F.col("l_quantity") / 50).alias("q"),
+                       F.expr("nullif(l_discount, 0) * 10").alias("p"))
+
+
+def linear_predict_with_nulls(spark, folder):
+    """Each line's prediction; null where the discount is."""
+    model = R.linear_fit(scaled_lineitem(spark, folder), XS, "y")
+    got = R.linear_predict(_holed_lines(spark, folder), model, XS)
+    return got.select("l_orderkey", "l_linenumber", rounded("prediction").alias("prediction"))
+
+
+def logistic_predict_by_row(spark, folder):
+    """Each line's probability and class."""
+    rows, model = _holed_lines(spark, folder), _newton(spark, folder)
+    scored = L.logistic_predict_proba(rows, model, ["one", "q"])
+    got = L.logistic_predict(scored, model, ["one", "q"], threshold=0.53)
+    return got.select("l_orderkey", "l_linenumber", rounded("probability").alias("probability"), "prediction")
+
+
 QUERIES = {
+    "linear_predict_with_nulls": linear_predict_with_nulls, "logistic_predict_by_row": logistic_predict_by_row,
     "moments": moments_query, "moments_weighted": moments_weighted, "moments_wide": moments_wide,
     "column_means": column_means, "variance_impurity": variance_impurity, "gini": gini,
     "majority_class": majority_class, "mse": mse, "half_mse": half_mse, "cross_entropy": cross_entropy,
@@ -263,6 +286,12 @@ SQL = {
                       "round(loss, 9) + 0.0 loss from r where i > 0 and (i-1) % 20 = 0",
     "lasso_fit": f"with recursive {LINES}, {_SUMS}, {_LASSO}, z as (select * from r order by i desc limit 1) "
                  "select 0::int j, round(t0, 6) + 0.0 theta from z union all select 1::int, round(t1, 6) + 0.0 from z",
+    "linear_predict_with_nulls": f"with {LINES}, {_SUMS}, {_OLS} select l_orderkey, l_linenumber, case when l_discount <> 0 then "
+                                 "round(l_quantity/50*t0 + l_discount*10*t1, 6) + 0.0 end prediction from lineitem, t",
+    "logistic_predict_by_row": f"with recursive {_NEWTON} select l_orderkey, l_linenumber, "
+                               "round(1/(1+exp(-(t0+t1*(l_quantity/50)))), 6) + 0.0 probability, (case when "
+                               "1/(1+exp(-(t0+t1*(l_quantity/50)))) >= 0.53 then 1.0 else 0.0 end)::double prediction "
+                               "from lineitem, r where i = 5",
     "linear_predict": f"{_SCORED} select l_returnflag, l_linestatus, count(*) n, round(avg(h), 6) + 0.0 prediction, "
                       "round(avg(y-h), 6) + 0.0 residual from s group by 1, 2",
     "logistic_fit": f"with recursive {_NEWTON} select 0::int j, round(t0, 6) + 0.0 theta from r where i = 5 "

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from frameml.operators import neural as N
-from frameml.workloads.common import CELLS, embeddings, rounded
+from frameml.workloads.common import CELLS, LINES, embeddings, rounded, scaled_lineitem
 
 # Explicit start of the network queries, by rule.
 INPUTS, HIDDEN, CLASSES = 64, 4, 10
@@ -73,7 +73,35 @@ def mlp_train_adam(spark, folder):
     return model.history_df(spark)
 
 
+# One layer on scaled lineitem, a few steps: start, rate and clip of the optimiser queries.
+START, STEP_LR, CLIP, STEPS, MOMENTUM, BETAS = (0.1, 0.2, 0.3), 0.05, 0.4, 5, 0.9, (0.8, 0.99)
+
+
+def _one_layer(spark, folder, **rule):
+    net = N.Network((N.Layer("linear", np.array([[START[0]], [START[1]]]), np.array([START[2]])),))
+    return _weights(N.mlp_fit(scaled_lineitem(spark, folder), ["q", "p"], "y", net, lr=STEP_LR, epochs=STEPS, clip=CLIP, **rule), spark)
+
+
+def mlp_fit_momentum(spark, folder):
+    """Five clipped full-batch steps with momentum."""
+    return _one_layer(spark, folder, momentum=MOMENTUM)
+
+
+def mlp_fit_adam(spark, folder):
+    """Five clipped full-batch Adam steps with other betas than the default."""
+    return _one_layer(spark, folder, optimizer="adam", betas=BETAS)
+
+
+def mlp_predict_with_nulls(spark, folder):
+    """Rows whose first feature is null score null."""
+    rows = embeddings(spark, folder)
+    x = F.when(F.col("label") % 3 == 0, F.concat(F.array(F.lit(None).cast("float")), F.slice("embedding", 2, INPUTS - 1)))
+    got = N.mlp_predict(rows.withColumn("x", F.coalesce(x, "embedding")), start_network(1), ("x", INPUTS))
+    return got.select("vec_id", rounded(F.col("out")[0]).alias("out"))
+
+
 QUERIES = {
+    "mlp_fit_momentum": mlp_fit_momentum, "mlp_fit_adam": mlp_fit_adam, "mlp_predict_with_nulls": mlp_predict_with_nulls,
     "mlp_fit_cross_entropy": mlp_fit_cross_entropy, "mlp_fit_squared_error": mlp_fit_squared_error,
     "mlp_predict": mlp_predict, "mlp_predict_probabilities": mlp_predict_probabilities,
     "mlp_train_adam": mlp_train_adam,
@@ -110,7 +138,29 @@ _CE_STEP = _step_sql(CLASSES, "p.p - (case when e.label = p.k then 1 else 0 end)
 _MSE_STEP = _step_sql(1, "2*(p.o - e.label/10.0::double)")
 _WEIGHTS = "select layer::int layer, i::int i, k::int k, round(w, 6) + 0.0 w from u"
 
+def _steps_sql(update: str) -> str:
+    """Parameters w, moments m and v after STEPS rounds; ``update`` gives the new (m, v, change) from the clipped gradient g."""
+    grads = ", ".join(f"greatest(least(avg(2*(w0*q+w1*p+w2-y){f}), {CLIP}), -{CLIP}) g{k}" for k, f in enumerate(("*q", "*p", "")))
+    keep = ", ".join(f"any_value({c}{k}) {c}{k}" for c in "wmv" for k in range(3))
+    new = ", ".join(update.format(k=k) for k in range(3))
+    start = ", ".join(f"{v}::double w{k}, 0::double m{k}, 0::double v{k}" for k, v in enumerate(START))
+    order = ", ".join(f"w{k}, m{k}, v{k}" for k in range(3))
+    return f"""with recursive {LINES}, r(i, {order}) as (select 0, {start} union all
+  select i + 1, {", ".join(f"w{k} + u{k}.d, u{k}.m, u{k}.v" for k in range(3))} from (select *, {new} from (
+    select any_value(i) i, {keep}, {grads} from (select r.*, x.q, x.p, x.y from r, x where i < {STEPS}))) where i is not null)
+select 0::int layer, i.k::int i, 0::int k, round(i.w, 6) + 0.0 w from (
+  select unnest([0, 1, -1]) k, unnest([w0, w1, w2]) w from r where i = {STEPS}) i"""
+
+
+_MOMENTUM_STEP = (f"{{{{'m': {MOMENTUM}*m{{k}} - {STEP_LR}*g{{k}}, 'v': 0::double, 'd': {MOMENTUM}*m{{k}} - {STEP_LR}*g{{k}}}}}} u{{k}}")
+_M, _V = f"({BETAS[0]}*m{{k}} + (1-{BETAS[0]})*g{{k}})", f"({BETAS[1]}*v{{k}} + (1-{BETAS[1]})*g{{k}}*g{{k}})"
+_ADAM_STEP = (f"{{{{'m': {_M}, 'v': {_V}, 'd': -{STEP_LR}*({_M}/(1-{BETAS[0]}**(i+1)))/(sqrt({_V}/(1-{BETAS[1]}**(i+1))) + 1e-8)}}}} u{{k}}")
+
 SQL = {
+    "mlp_fit_momentum": _steps_sql(_MOMENTUM_STEP),
+    "mlp_fit_adam": _steps_sql(_ADAM_STEP),
+    "mlp_predict_with_nulls": f"{_forward_sql(1)} select o.id vec_id, case when e.label % 3 <> 0 then round(o.o, 6) + 0.0 end "
+                              "\"out\" from o join embeddings e on e.vec_id = o.id",
     "mlp_fit_cross_entropy": f"{_CE_STEP} {_WEIGHTS}",
     "mlp_fit_squared_error": f"{_MSE_STEP} {_WEIGHTS}",
     "mlp_predict": f"""{_MSE_STEP},

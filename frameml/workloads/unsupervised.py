@@ -121,6 +121,14 @@ def kmeans_predict(spark, folder):
     return got.select("event_id", "cluster")
 
 
+def kmeans_predict_with_nulls(spark, folder):
+    """Every fifth event lacks a value and gets no cluster."""
+    rows = scaled_events(spark, folder)
+    holed = rows.withColumn("a", F.when(F.col("event_id") % 5 != 0, F.col("a")))
+    got = K.kmeans_predict(holed, _lloyd(spark, folder), XS)
+    return got.select("event_id", "cluster")
+
+
 def kmeans_wide(spark, folder):
     """One Lloyd update on the embeddings from the class means, which are
     computed from the table; sizes and inertia-like sums per cluster."""
@@ -165,7 +173,7 @@ QUERIES = {
     "svd": svd, "svd_qr": svd_qr, "svd_left": svd_left, "svd_rebuild": svd_rebuild, "svd_wide": svd_wide, "pca_fit": pca_fit,
     "pca_transform": pca_transform, "pca_inverse_transform": pca_inverse_transform, "pca_rebuild": pca_rebuild,
     "pca_total_variance": pca_total_variance, "kmeans_init_pp": kmeans_init_pp, "kmeans_fit": kmeans_fit,
-    "kmeans_predict": kmeans_predict, "kmeans_wide": kmeans_wide, "gaussian_pdf": gaussian_pdf,
+    "kmeans_predict": kmeans_predict, "kmeans_predict_with_nulls": kmeans_predict_with_nulls, "kmeans_wide": kmeans_wide, "gaussian_pdf": gaussian_pdf,
     "gmm_fit": gmm_fit, "gmm_predict_proba": gmm_predict_proba, "gmm_predict": gmm_predict,
 }
 
@@ -241,6 +249,9 @@ SQL = {
                   "from c, range(0, 3) k, range(0, 2) j",
     "kmeans_predict": f"{_LLOYD}, l as (select event_id, list_transform(c, lambda z: (a-z[1])**2+(b-z[2])**2) l "
                       "from x, c) select event_id, (list_position(l, list_min(l)) - 1)::int \"cluster\" from l",
+    "kmeans_predict_with_nulls": f"{_LLOYD}, l as (select event_id, list_transform(c, lambda z: (a-z[1])**2+(b-z[2])**2) l "
+                                 "from x, c) select event_id, case when event_id % 5 <> 0 then (list_position(l, list_min(l)) - 1)::int end "
+                                 "\"cluster\" from l",
     "kmeans_wide": f"with {CELLS}, m as (select label c, j, avg(v) m from a join embeddings e on e.vec_id = a.i group by 1, 2), "
                    "d as (select a.i, m.c, sum((a.v-m.m)*(a.v-m.m)) d from a join m using (j) group by 1, 2), "
                    "n as (select i, arg_min(c, d) c from d group by 1) "
