@@ -12,6 +12,7 @@ partition counts and look up their line.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -99,19 +100,28 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def _encode(ranks_file: bytes, capacity: int, closing: int, with_ids: bool):
+def special_tokens(path: str) -> dict[str, int]:
+    """The strings that a tokenizer file turns into ids of their own, wherever they stand in a text."""
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added):
+        raise ValueError("special tokens that take in what is beside them are not supported")
+    return {t["content"]: t["id"] for t in added}
+
+
+def _encode(ranks_file: bytes, special: dict[str, int], capacity: int, closing: int, with_ids: bool):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         import tiktoken
 
         ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, ranks_file.splitlines())}
-        encoder = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        encoder = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
         pid, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             doc_ids, texts = batch.column("doc_id"), batch.column("text")
             where, rows, ids = [], [], []
             for i in range(len(texts)):
-                codes = encoder.encode_ordinary(texts[i].as_py() or "")
+                codes = encoder.encode(texts[i].as_py() or "", allowed_special="all")
                 codes.append(closing)
                 data = np.array(codes, "<u4")
                 pieces = -(-len(data) // capacity)
@@ -161,21 +171,21 @@ def _look_up(lines: np.ndarray):
     return run
 
 
-def pack_documents(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY, closing: int = 0,
-                   id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY, closing: int = 0, id_col: str = "doc_id",
+                   text_col: str = "text", with_ids: bool = False, special: dict[str, int] | None = None) -> DataFrame:
     """Tokenize, cut and pack: (doc_id, piece, start, length, ids_crc32, sequence_id, offset).
 
     A document is the ids of its whole text followed by ``closing``.  Only one of
     more than ``capacity`` ids is cut, into pieces of ``capacity`` of which the
     first may be shorter.  A null text is empty (one piece, the closing id);
-    strings of special tokens are ordinary text.  Rows without id and repeated
+    strings named in ``special`` become its ids.  Rows without id and repeated
     rows are packed like others.  Other columns are ignored; an empty table gives
     an empty result.  ``with_ids`` adds the ids themselves.
     """
     with open(ranks_path, "rb") as f:
         vocabulary = f.read()
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    pieces = cut_lineage(docs.mapInArrow(_encode(vocabulary, capacity, closing, with_ids),
+    pieces = cut_lineage(docs.mapInArrow(_encode(vocabulary, special or {}, capacity, closing, with_ids),
                                          PIECES + (", ids array<int>" if with_ids else "")))
     counts = cut_lineage(pieces.groupBy("pid", "length").agg(F.count("*").alias("n")))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
@@ -196,8 +206,14 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def vocabulary_special() -> dict[str, int]:
+    import public_tokenizers
+
+    return special_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(read_table(spark, sf_dir, "documents"), vocabulary_path())
+    return pack_documents(read_table(spark, sf_dir, "documents"), vocabulary_path(), special=vocabulary_special())
 
 
 QUERIES = {"op4_packing": op4_packing}
