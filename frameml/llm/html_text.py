@@ -152,8 +152,8 @@ def _vote(batches: Iterator) -> Iterator:
     import pyarrow as pa
 
     for batch in batches:
-        paths = ["/".join(best_path(blocks(h.as_py()))) for h in batch.column("html")]
-        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(paths, pa.string())], names=["host", "path"])
+        paths = [list(best_path(blocks(h.as_py()))) for h in batch.column("html")]
+        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(paths, pa.list_(pa.string()))], names=["host", "path"])
 
 
 def _extract(batches: Iterator) -> Iterator:
@@ -163,7 +163,7 @@ def _extract(batches: Iterator) -> Iterator:
         texts = []
         for page, path in zip(batch.column("html"), batch.column("path")):
             found = blocks(page.as_py())
-            texts.append((path.as_py() and take(found, tuple(path.as_py().split("/")))) or take(found, best_path(found)))
+            texts.append((path.as_py() and take(found, tuple(path.as_py()))) or take(found, best_path(found)))
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
                                           pa.array([len(t) for t in texts], pa.int64())],
                                          names=["page_id", "url", "text", "n_chars"])
@@ -181,7 +181,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                         F.col(html_col).alias("html"), host.alias("host"))
-    votes = rows.select("host", "html").mapInArrow(_vote, "host string, path string").where("path <> ''")
+    votes = rows.select("host", "html").mapInArrow(_vote, "host string, path array<string>").where("size(path) > 0")
     winner = cut_lineage(votes.groupBy("host", "path").count().groupBy("host")
                          .agg(F.max_by("path", F.struct("count", "path")).alias("path")))
     read = join_summary(rows, winner, "host", "left").select("page_id", "url", "html", "path")
