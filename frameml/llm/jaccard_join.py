@@ -4,10 +4,17 @@ Sets of word shingles with Jaccard similarity J >= 85 % differ in at most
 15/185 (|A| + |B|) elements.  Sizes are cut into bands; instance ``i`` joins
 the sets of band ``i`` and those of band ``i + 1`` small enough to be similar
 to one of them, and has a bound ``k`` on the difference.  The shingle domain
-is cut into ``n1`` groups of ``n2`` partitions with ``2 * n1 > k``: one group
-then holds at most one differing element, which touches one partition, so the
-two sets agree on one of the ``n2`` subsets of ``n2 - 1`` partitions of that
-group.  Every (instance, group, subset) gives one signature.
+is cut into groups of partitions.  A scheme that leaves ``c`` partitions of a group out
+needs ``k // (c + 1) + 1`` groups: one then holds at most ``c`` differing elements,
+which touch ``c`` partitions, so the two sets agree on one of the subsets of the
+others.  Every (instance, group, subset) gives one signature.
+
+A subset may be empty in a set, and sets that share only emptiness are not
+similar.  With ``spare`` more groups a similar pair agrees on ``spare + 1`` subsets at
+least, and what is empty on one side of an agreement is so on the other.  A set with at
+most ``spare`` empty subsets therefore leaves them out.  The few sets with more
+leave them out too and add the signatures of a second scheme with larger
+subsets: two such sets meet there.
 
 Sets that share a signature meet at the smallest id of its bucket (a star, not
 all pairs).  Stars are filtered by sketches and verified exactly; buckets whose
@@ -18,7 +25,10 @@ no link between different components is lost.
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -30,12 +40,16 @@ from frameml.plans.lineage import cut_lineage, join_summary
 from frameml.sources.tables import read_table
 
 # Bytes of text whose signatures one bucket of the shuffle holds, about.
-BUCKET_BYTES = 16_000_000
+BUCKET_BYTES = 4_000_000
 # Signatures gathered in a map task before equal ones are combined and sent.
-FLUSH = 1_000_000
+FLUSH = 300_000
+# Bytes of text whose arrays a worker holds at a time, but for longer texts.
+SLICE = 250_000
 BAND_RATIO = 1.3
-# Bands of smaller sets leave one of three partitions out, others one of two.
-FINE_TOP = 512
+# The first scheme takes no more groups than leave this share of subsets empty.
+EMPTY = 0.05
+# The second scheme leaves this many partitions out.
+SECOND = 4
 # Members of a bucket that one tile compares with as many others.
 TILE = 1024
 
@@ -43,11 +57,59 @@ PACKED = "bucket long, kind int, payload binary"
 ROWS = "kind int, a long, b long, c long, d long"
 
 
+@dataclass(frozen=True)
+class Scheme:
+    """``groups`` of ``parts`` partitions, of which every ``left_out`` are left out in turn."""
+
+    groups: int
+    parts: int
+    left_out: int
+    spare: int
+
+    @property
+    def count(self) -> int:
+        return self.groups * math.comb(self.parts, self.left_out)
+
+    def signatures(self, shingles: np.ndarray, values: np.ndarray, tag: int) -> tuple[np.ndarray, np.ndarray]:
+        """One for each group and subset, and whether the subset is empty."""
+        cells = self.groups * self.parts
+        cell = (((shingles >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)).astype(np.int64)
+        sums = np.zeros(cells, np.uint64)
+        np.add.at(sums, cell, values)
+        gone = np.array([[p in out for out in itertools.combinations(range(self.parts), self.left_out)] for p in range(self.parts)])
+        size = np.bincount(cell, minlength=cells).reshape(-1, self.parts) @ (~gone).astype(np.int64)
+        kept = sums.reshape(-1, self.parts) @ (~gone).astype(np.uint64)
+        tags = np.arange(kept.size, dtype=np.uint64).reshape(kept.shape) + np.uint64(tag)
+        return mix(kept + mix(tags)).ravel(), (size == 0).ravel()
+
+
+def first_scheme(k: int, size: int, second: Scheme) -> Scheme:
+    """The scheme with the fewest signatures for sets of about ``size`` elements, those counted that
+    sets with more than ``spare`` empty subsets add by the second one."""
+    found = []
+    for parts in (2, 3):
+        for spare in range(k // 2 + 2):
+            groups = k // 2 + 1 + spare
+            empty = (1 - (parts - 1) / (groups * parts)) ** size
+            if empty > EMPTY and found:
+                break
+            # Empty subsets come about as in a Poisson distribution.
+            mean = groups * parts * empty
+            often = 1 - sum(math.exp(x * math.log(mean) - mean - math.lgamma(x + 1)) for x in range(spare + 1))
+            found.append((groups * parts + max(often, 0.0) * second.count, Scheme(groups, parts, 1, spare)))
+    return min(found, key=lambda f: f[0])[1]
+
+
+def second_scheme(k: int) -> Scheme:
+    out = min(k, SECOND)
+    return Scheme(k // (out + 1) + 1, 2 * out + 2 * (out < SECOND), out, 0)
+
+
 class Bands:
     """Size bands and the signature scheme of each instance, for J >= percent / 100."""
 
     def __init__(self, percent: int) -> None:
-        self.percent, self.edges = percent, [1]
+        self.percent, self.edges, self.schemes = percent, [1], {}
 
     def band(self, n: int) -> int:
         while self.edges[-1] <= n:
@@ -57,16 +119,18 @@ class Bands:
     def _ratio(self) -> float:
         return max(BAND_RATIO, 100.01 / self.percent)
 
-    def instances(self, n: int) -> list[tuple[int, int, int]]:
-        """(instance, n1, n2) of a set of n elements; none where only equal sets are similar."""
+    def instances(self, n: int) -> list[tuple[int, Scheme, Scheme]]:
+        """(instance, first and second scheme) of a set of n elements; none where only equal sets are similar."""
         i, out = self.band(n), []
         for j in (i - 1, i):
             if j < 0 or (top := self.edges[j + 1] - 1) * 100 < n * self.percent:
                 continue
-            other = top * 100 // self.percent
-            k = (100 - self.percent) * (top + other) // (100 + self.percent)
-            if k:
-                out.append((j, k // 2 + 1, 3 if top <= FINE_TOP else 2))
+            if j not in self.schemes:
+                k = (100 - self.percent) * (top + top * 100 // self.percent) // (100 + self.percent)
+                second = second_scheme(k)
+                self.schemes[j] = (first_scheme(k, math.isqrt(self.edges[j] * top), second), second) if k else None
+            if self.schemes[j]:
+                out.append((j, *self.schemes[j]))
         return out
 
     def signatures(self, shingles: np.ndarray) -> np.ndarray:
@@ -74,14 +138,11 @@ class Bands:
             return np.zeros(0, np.uint64)
         values = mix(shingles ^ np.uint64(0x5851F42D4C957F2D))
         out = []
-        for j, n1, n2 in self.instances(len(shingles)):
-            cell = ((shingles >> np.uint64(32)) * np.uint64(n1 * n2)) >> np.uint64(32)
-            sums = np.zeros(n1 * n2, np.uint64)
-            np.add.at(sums, cell.astype(np.int64), values)
-            sums = sums.reshape(n1, n2)
-            left = sums.sum(axis=1, dtype=np.uint64, keepdims=True) - sums
-            tag = np.arange(n1 * n2, dtype=np.uint64).reshape(n1, n2) + np.uint64(j << 40)
-            out.append(mix(left + mix(tag)).ravel())
+        for j, first, second in self.instances(len(shingles)):
+            found, empty = first.signatures(shingles, values, j << 40)
+            out.append(found[~empty])
+            if empty.sum() > first.spare:
+                out.append(second.signatures(shingles, values, j << 40 | 1 << 60)[0])
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -93,11 +154,15 @@ def _digest(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def _pack(**columns: np.ndarray) -> bytes:
-    return b"".join(np.ascontiguousarray(c, np.int64).tobytes() for c in columns.values())
+    """Columns of numbers byte by byte: first bytes of all, then second ones.  Leading bytes of sorted
+    signatures and of ids repeat, so that the shuffle's compression finds them."""
+    numbers = np.stack([np.asarray(c, np.int64) for c in columns.values()])
+    return numbers.view(np.uint8).reshape(*numbers.shape, 8).transpose(0, 2, 1).tobytes()
 
 
-def _unpack(payload: bytes, width: int) -> np.ndarray:
-    return np.frombuffer(payload, np.int64).reshape(width, -1)
+def _unpack(payload, width: int) -> np.ndarray:
+    raw = np.frombuffer(payload, np.uint8).reshape(width, 8, -1)
+    return np.ascontiguousarray(raw.transpose(0, 2, 1)).view(np.int64)[:, :, 0]
 
 
 def _runs(keys: np.ndarray) -> np.ndarray:
@@ -126,7 +191,7 @@ def _map_signatures(width: int, percent: int, buckets: int):
         def flush():
             if not sets:
                 return
-            rows = [(int(sets[0][0]) % buckets, 0, _pack(x=np.array(sets, np.int64).T))]
+            rows = [(int(sets[0][0]) % buckets, 0, _pack(**dict(zip("abcd", np.array(sets, np.int64).T))))]
             sig, hub, star = _stars(np.concatenate(sigs), np.repeat(np.array([o for o, _ in owners], np.int64),
                                                                     [k for _, k in owners]))
             if len(star[0]):
@@ -142,7 +207,7 @@ def _map_signatures(width: int, percent: int, buckets: int):
 
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            for row, shingles in shingle_sets(batch.column("text"), width, hasher):
+            for row, shingles in shingle_sets(batch.column("text"), width, hasher, SLICE):
                 sig = bands.signatures(shingles)
                 sets.append((int(ids[row]), len(shingles), *_digest(shingles)))
                 sigs.append(sig)
@@ -160,7 +225,7 @@ def _reduce_bucket(table):
     """Sets and local stars pass through; what is left of each signature meets once more."""
     import pyarrow as pa
 
-    kinds, payloads = table.column("kind").to_pylist(), table.column("payload").to_pylist()
+    kinds, payloads = table.column("kind").to_pylist(), [p.as_buffer() for p in table.column("payload")]
     sets = [_unpack(p, 4) for k, p in zip(kinds, payloads) if k == 0]
     stars = [_unpack(p, 3) for k, p in zip(kinds, payloads) if k == 1]
     left = [_unpack(p, 2) for k, p in zip(kinds, payloads) if k == 2]
@@ -197,11 +262,11 @@ def _map_sets(width: int, sketched: bool = False):
 
         for batch in batches:
             ids, where, rows, held = batch.column("doc_id"), [], [], 0
-            for row, shingles in shingle_sets(batch.column("text"), width, hasher):
+            for row, shingles in shingle_sets(batch.column("text"), width, hasher, SLICE):
                 rows.append(shingles)
                 where.append(row)
                 held += len(shingles)
-                if held > 500_000:
+                if held > FLUSH:
                     yield out(ids, where, rows)
                     where, rows, held = [], [], 0
             if rows:
@@ -310,7 +375,8 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, id_co
     Two documents link when their sets of ``width``-word shingles have Jaccard
     similarity >= percent / 100 (percent > 50); a component's id is its smallest
     document id.  A null or empty text, or one of white space, has an empty set
-    and links with nothing.  Repeated ids are one node of the graph.  A row
+    and links with nothing.  Rows of one id are one node: what any of its texts links
+    with is linked, and all of them but those with an empty set have its component.  A row
     without id keeps its count, has a null component and links with nothing.
     Other columns are ignored.  An empty table gives an empty result.
     """
@@ -329,14 +395,17 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, id_co
     # Documents of one set are one node, the smallest id.
     classes = cut_lineage(sets.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")))
     member = cut_lineage(sets.join(classes, key, "left"))
-    rep = member.select("doc_id", "rep").distinct()
+    rep = cut_lineage(member.where("rep is not null").select("doc_id", "rep").distinct())
     stars = rows.where("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("hub"), F.col("c").alias("member"))
     stars = cut_lineage(
         stars.join(rep.select(F.col("doc_id").alias("hub"), F.col("rep").alias("p")), "hub")
         .join(rep.select(F.col("doc_id").alias("member"), F.col("rep").alias("q")), "member")
         .where("p != q").select("sig", F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct())
     likely = cut_lineage(_possible(cut_lineage(stars.select("a", "b").distinct()), docs, width, percent))
-    parts = cut_lineage(connected_components(_verified(likely, docs, width, percent)))
+    # The classes of a repeated id hang together.
+    same = rep.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z")
+    same = same.join(rep, "doc_id").select("a", F.col("rep").alias("b"))
+    parts = cut_lineage(connected_components(_verified(likely, docs, width, percent).union(same)))
     rest = cut_lineage(_pairs_across(stars, parts, docs, width, percent).join(likely, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         # Roots of the first components and the late links between them.
