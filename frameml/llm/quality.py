@@ -25,6 +25,8 @@ from frameml.sources.tables import read_table
 
 STATISTICS = ("log_bytes", "log_words", "word_bytes", "upper", "digits", "marks", "wide", "lines", "exclaimed",
               "marked_words", "bare_marks", "distinct", "top_share", "repeats", "pair_distinct", "ended")
+# Bytes of text whose arrays a worker holds at a time, but for longer texts.
+SLICE = 250_000
 # Labelled rows that a fit reads at most, about.
 MAX_TRAIN = 20_000
 THRESHOLD = 0.3
@@ -45,7 +47,7 @@ def statistics(column, hasher: PrefixHash) -> np.ndarray:
     """One row of STATISTICS for each text; all zero for an empty or null one."""
     data, offsets = string_buffers(column)
     out = np.zeros((len(offsets) - 1, len(STATISTICS)))
-    for i, j in slices(offsets, 2_000_000):
+    for i, j in slices(offsets, SLICE):
         part, at = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
         size = np.maximum(np.diff(at), 1)
         hasher.load(part)
