@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,10 +32,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def released_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Frames made inside drop the shuffle files of an action when it ends, not when the driver next
+    happens to collect garbage.  For frames that are executed once."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the frame to the shared checkpoint folder and continue from it."""
+    """Write the frame to the shared checkpoint folder and continue from it.  The shuffle files that
+    it was made from are dropped then."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with released_shuffles(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)
 
 
 def collect_small(df: DataFrame, limit: int):

@@ -113,3 +113,29 @@ def test_ragged_arrays_are_refused():
     assert as_numpy(pa.array([[1.0, 2], [3, 4]])).shape == (2, 2)
     with pytest.raises(ValueError, match="1 to 3"):
         as_numpy(pa.array([[1.0], [2, 3, 4]]))
+
+
+def test_cut_lineage_drops_the_shuffle_files(spark):
+    import time
+
+    from frameml.plans.lineage import cut_lineage
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = {f.getName() for f in _java_list(spark, disk.getAllFiles())}
+    rows = spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count()
+    cut = cut_lineage(rows)
+    for _ in range(100):
+        left = [f.getName() for f in _java_list(spark, disk.getAllFiles())]
+        left = [name for name in left if name.startswith("shuffle_") and name not in before]
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(setting) == "false"
+    # Neither the frame that was cut nor what was cut from it needs those files.
+    assert cut.agg({"count": "sum"}).first()[0] == rows.agg({"count": "sum"}).first()[0] == 1000
+
+
+def _java_list(spark, files):
+    return list(spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(files))
