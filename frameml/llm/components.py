@@ -1,8 +1,8 @@
 """Connected components by alternating large-star and small-star joins.
 
-Edges stay in DataFrames.  Minima are pre-aggregated before the shuffle, and
-every join has two plain exchanges, so AQE can split a hub's partition.  Each
-round is cut by a checkpoint in the shared folder.
+Edges stay in DataFrames.  Minima are pre-aggregated before the shuffle.  Few
+minima are broadcast; else every join has two plain exchanges, so AQE can split
+a hub's partition.  Each round is cut by a checkpoint in the shared folder.
 """
 
 from __future__ import annotations
@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frameml.plans.lineage import cut_lineage
+from frameml.plans.lineage import BROADCAST_ROWS, cut_lineage, released_shuffles
 
 
 def _state(edges: DataFrame):
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(20,0)"))).first()
+    with released_shuffles(edges.sparkSession):
+        row = edges.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(20,0)"))).first()
     return tuple(row)
 
 
@@ -26,14 +27,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
                        .select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct())
     before = _state(edge)
     while before[0]:
+        # Twice the edges bound the nodes, and large-star makes no more edges than there were.
+        side = F.broadcast if 2 * before[0] <= BROADCAST_ROWS else cut_lineage
         both = edge.select(F.col("lo").alias("u"), F.col("hi").alias("v")).union(edge.select("hi", "lo"))
-        least = cut_lineage(both.groupBy("u").agg(F.min("v").alias("m"))
-                            .select(F.col("u").alias("lo"), F.least("u", "m").alias("m")))
-        large = cut_lineage(edge.join(least, "lo").select(F.col("m").alias("lo"), "hi").distinct())
-        least = cut_lineage(large.groupBy("hi").agg(F.min("lo").alias("m")))
-        small = (large.join(least, "hi").where(F.col("lo") != F.col("m"))
-                 .select(F.col("m").alias("lo"), F.col("lo").alias("hi"))
-                 .union(least.select(F.col("m").alias("lo"), "hi")).distinct())
+        least = (both.groupBy("u").agg(F.min("v").alias("m"))
+                 .select(F.col("u").alias("lo"), F.least("u", "m").alias("m")))
+        large = cut_lineage(edge.join(side(least), "lo").select(F.col("m").alias("lo"), "hi").distinct())
+        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        small = (large.join(side(least), "hi")
+                 .select(F.col("m").alias("lo"), F.explode(F.array("lo", "hi")).alias("hi"))
+                 .where("lo != hi").distinct())
         edge = cut_lineage(small)
         now = _state(edge)
         if now == before:

@@ -338,3 +338,16 @@ def test_pages_of_a_host_with_slashes_in_class_names(spark):
         rows.append((5, "http://h.org/5", page.format(c=name, a="Page 5", side=side)))
         got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
         assert got[5] == "Page 5 first part of the article text here.\n\nPage 5 second part of it."
+
+
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_components_with_minima_joined_and_broadcast(spark, monkeypatch, most):
+    from frameml.llm import components
+
+    monkeypatch.setattr(components, "BROADCAST_ROWS", most, raising=False)
+    chain = [(i, i + 1) for i in range(40)]
+    star = [(100, 100 + i) for i in range(9, 0, -1)]
+    odd = [(200, 200), (None, 3), (4, None), (301, 300), (300, 301), (300, 301)]
+    edges = spark.createDataFrame(chain + star + odd, "a long, b long")
+    got = sorted(map(tuple, components.connected_components(edges).collect()))
+    assert got == [(i, 0) for i in range(41)] + [(100 + i, 100) for i in range(10)] + [(300, 300), (301, 300)]
