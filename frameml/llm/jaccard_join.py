@@ -52,6 +52,8 @@ EMPTY = 0.05
 SECOND = 4
 # Members of a bucket that one tile compares with as many others.
 TILE = 1024
+# Members of buckets, about, that one task deals out with their sketches.
+TASK_LINES = 20_000
 
 PACKED = "bucket long, kind int, payload binary"
 ROWS = "kind int, a long, b long, c long, d long"
@@ -445,13 +447,19 @@ def _pairs_across(stars: DataFrame, parts: DataFrame, docs: DataFrame, width: in
     ids = cut_lineage(inside.select(F.col("id").alias("doc_id")).distinct())
     slots = (join_summary(docs, ids, "doc_id", "left_semi")
              .mapInArrow(_map_sets(width, True), "id long, n long, value binary"))
+    # One row of an id meets its sketch and is dealt out to its tiles on the way to them, so that no task holds
+    # or sorts the copies, which take twenty times the bytes of the rows they come from.
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), inside.count() // TASK_LINES)
+    # As many buckets as a set has signatures at most.
+    own = (inside.repartition(tasks, "id").groupBy("id", "part")
+           .agg(F.sort_array(F.collect_list(F.struct("sig", "chunks", "chunk"))).alias("at")))
+    # An id names the buckets before this one.
+    each = (own.join(slots, "id").select("id", "part", "n", "value", F.col("at.sig").alias("all"), F.posexplode("at").alias("k", "here"))
+            .select("id", "part", "n", "value", "here.*", F.slice("all", F.lit(1), F.col("k")).alias("sigs")))
     places = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1),
                          lambda k: F.struct(F.least("chunk", k).alias("i"), F.greatest("chunk", k).alias("j")))
-    # As many as a set has signatures at most.
-    own = inside.groupBy("id").agg(F.sort_array(F.collect_list("sig")).alias("sigs"))
-    earlier = F.filter("sigs", lambda s: s < F.col("sig")).alias("sigs")
-    return (inside.join(own, "id").select("sig", "id", "part", "chunk", earlier, F.explode(places).alias("t"))
-            .join(slots, "id").select("sig", "t.i", "t.j", "id", "part", "chunk", "sigs", "n", "value")
+    return (each.select("sig", "id", "part", "chunk", "sigs", "n", "value", F.explode(places).alias("t"))
+            .select("sig", "t.i", "t.j", "id", "part", "chunk", "sigs", "n", "value")
             .groupBy("sig", "i", "j").applyInArrow(_tile_left(percent), "a long, b long").distinct())
 
 
